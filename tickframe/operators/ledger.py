@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ExecutionConfig, Ordering
-from .ordered import apply_ordered, prefix_scan
+from .ordered import POS, apply_ordered, prefix_scan, with_positions
 
 LEDGER_COLUMNS = ("position", "trade_size", "transaction_cost", "slippage_cost",
                   "total_cost", "pnl", "cumulative_pnl")
@@ -68,10 +68,12 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
     c = F.when(c.isNull(), F.lit(None).cast("double")).when(
         (F.abs(c) >= F.lit(m)) | (c == 0), c).otherwise(F.lit(0.0))
     d = int(cfg.execution_delay) if cfg.mode == "mtm" else 0
-    x = df.withColumn("_c_raw", c)
+    # dense positions once; every step below keeps all rows, so they stay valid
+    had_pos = POS in df.columns
+    x = with_positions(df.drop(POS), ordering).withColumn("_c_raw", c)
     if d > 0:
         x = apply_ordered(x, o_pos, lambda f, w: f.withColumn("_c_raw", F.lag("_c_raw", d).over(w)),
-                          lookback=d)
+                          lookback=d, dense_pos=fold is None)
     # 2) NULL signal: hold the last position
     x = prefix_scan(x, ordering, "_c_raw", "last", "_c_fill", *o_pos.keys[len(ordering.keys):])
     x = x.withColumn("_c", F.coalesce(F.col("_c_raw"), F.col("_c_fill"), F.lit(0.0))) \
@@ -87,11 +89,13 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
         return f.withColumns({"_dpx": F.col(price) - F.lag(price).over(w),
                               "_first": F.lag(price).over(w).isNull()})
 
+    dense = fold is None   # positions are per key; per-fold halos need their own
     if o_pos == o_px:
-        x = apply_ordered(x, o_pos, lambda f, w: step_px(step(f, w), w), lookback=1)
+        x = apply_ordered(x, o_pos, lambda f, w: step_px(step(f, w), w), lookback=1,
+                          dense_pos=dense)
     else:
-        x = apply_ordered(x, o_pos, step, lookback=1)
-        x = apply_ordered(x, o_px, step_px, lookback=1)
+        x = apply_ordered(x, o_pos, step, lookback=1, dense_pos=dense)
+        x = apply_ordered(x, o_px, step_px, lookback=1, dense_pos=dense)
     trade = F.col("_c") - F.col("_prev")
     executed = (F.abs(trade) >= F.lit(m)) if m > 0 else F.lit(True)
     x = x.withColumns({"_trade": trade, "executed": executed})
@@ -129,7 +133,8 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
         })
         x = prefix_scan(x, ordering, "pnl", "sum", "cumulative_pnl",
                         *o_px.keys[len(ordering.keys):])
-    return x.drop("_c", "_prev", "_dpx", "_first", "_trade")
+    x = x.drop("_c", "_prev", "_dpx", "_first", "_trade")
+    return x if had_pos else x.drop(POS)
 
 
 def trades(ledger: DataFrame, *keys: str, ts: str = "ts", price: str = "mid_price") -> DataFrame:

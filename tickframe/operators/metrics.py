@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import MetricsConfig, Ordering
 from ..functions import frames as fr
-from .ordered import apply_ordered, prefix_scan
+from .ordered import POS, apply_ordered, prefix_scan, with_positions
 from .quantiles import exact_quantiles
 
 METRIC_NAMES = (
@@ -38,7 +38,7 @@ def backtest_metrics(ledger: DataFrame, cfg: MetricsConfig = MetricsConfig(),
     if "cumulative_pnl" not in ledger.columns:
         raise ValueError("DataFrame must contain 'cumulative_pnl' column")
     keys = [*o.keys, *extra_keys]
-    x = with_drawdown(ledger, o, *extra_keys)
+    x = with_drawdown(ledger if POS in ledger.columns else with_positions(ledger, o), o, *extra_keys)
     sq = math.sqrt(cfg.trading_days)
     pnl, ts_ = F.col("pnl"), F.col("trade_size")
     last_key = F.struct(*[F.col(c) for c in o.order])

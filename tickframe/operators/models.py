@@ -73,7 +73,11 @@ def fit(train: DataFrame, features: Sequence[str], cfg: ModelConfig = ModelConfi
     """ML8 (fit half): balanced class weights (LBL3) as ``weightCol``."""
     use_w = cfg.model_type not in ("lstm", "transformer")
     df, w = _weight_col(train, label, "weight" if use_w else None)
-    df = df.withColumn(label, F.col(label).cast("double")).persist()
+    # cut the long feature lineage once: every training pass then reads the
+    # checkpointed rows (in the shared checkpoint folder) instead of
+    # re-planning and re-running the window stages
+    df = materialize(df.select(*features, F.col(label).cast("double").alias(label),
+                               *([w] if w else [])), "train")
     try:
         if cfg.model_type == "logistic_regression" and "reg_param" not in cfg.params:
             # the reference's C=1 penalty on a summed loss equals regParam = 1 / (C * sum(w))
@@ -84,7 +88,15 @@ def fit(train: DataFrame, features: Sequence[str], cfg: ModelConfig = ModelConfi
                               cfg.seed)
         return build_pipeline(features, cfg, n_classes, label, w).fit(df)
     finally:
-        df.unpersist()
+        pass
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
+    from ..sources.sinks import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _ovr_probabilities(raw: str, n: int):

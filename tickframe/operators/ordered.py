@@ -68,7 +68,7 @@ def with_positions(df: DataFrame, o: Ordering) -> DataFrame:
 
 
 def apply_ordered(df: DataFrame, o: Ordering, build: Callable[[DataFrame, WindowSpec], DataFrame],
-                  lookback: int = 0, lookahead: int = 0) -> DataFrame:
+                  lookback: int = 0, lookahead: int = 0, dense_pos: bool = False) -> DataFrame:
     """Run ``build(df, w)`` with ``w`` ordering each series.
 
     ``lookback`` / ``lookahead``: how many rows before / after the current one
@@ -79,7 +79,11 @@ def apply_ordered(df: DataFrame, o: Ordering, build: Callable[[DataFrame, Window
     c = int(o.chunk_rows)
     if c < max(lookback, lookahead, 1):
         raise ValueError(f"chunk_rows={c} is smaller than the halo ({lookback}, {lookahead})")
-    p = with_positions(df, o)
+    # halos need dense positions. An inherited ``pos`` is trusted only when
+    # the caller marks it dense (``dense_pos``); otherwise rebuild, since an
+    # upstream filter may have left gaps.
+    had_pos = POS in df.columns
+    p = df if (had_pos and dense_pos) else with_positions(df.drop(POS), o)
     ch = F.floor(F.col(POS) / F.lit(c))
     within = F.col(POS) % F.lit(c)
     copies = F.array(
@@ -91,7 +95,8 @@ def apply_ordered(df: DataFrame, o: Ordering, build: Callable[[DataFrame, Window
     expanded = (p.withColumn(_CH, ch)
                 .withColumn(_K, F.explode(F.filter(copies, lambda x: x.isNotNull()))))
     out = build(expanded, keyed_window(o, _K))
-    return out.filter(F.col(_K) == F.col(_CH)).drop(_K, _CH)
+    out = out.filter(F.col(_K) == F.col(_CH)).drop(_K, _CH)
+    return out if had_pos else out.drop(POS)
 
 
 # ------------------------------------------------------------------ prefix scans
@@ -114,9 +119,12 @@ def prefix_scan(df: DataFrame, o: Ordering, value: Column | str, op: str, out: s
     """
     agg, combine = _SCAN[op]
     value = F.col(value) if isinstance(value, str) else value
+    # an inherited ``pos`` may have gaps after a filter; chunks only need it
+    # to be increasing in the series order, which a filter preserves
     if o.chunk_rows is None:
         w = keyed_window(o, *extra_keys).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, agg(value).over(w))
+    had_pos = POS in df.columns
     p = with_positions(df, o).withColumn(_CH, F.floor(F.col(POS) / F.lit(int(o.chunk_rows))))
     keys = [*o.keys, *extra_keys]
     w_local = Window.partitionBy(*keys, _CH).orderBy(*o.order).rowsBetween(
@@ -131,5 +139,6 @@ def prefix_scan(df: DataFrame, o: Ordering, value: Column | str, op: str, out: s
     w_pre = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, _CH, agg(F.col("_tot")).over(w_pre).alias("_pre"))
     res = p.join(offsets, [*keys, _CH], "left")
-    return (res.withColumn(out, combine(F.col("_pre"), F.col("_local")))
-            .drop("_v", "_local", "_pre", _CH))
+    res = (res.withColumn(out, combine(F.col("_pre"), F.col("_local")))
+           .drop("_v", "_local", "_pre", _CH))
+    return res if had_pos else res.drop(POS)

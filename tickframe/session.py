@@ -24,8 +24,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """
     active = SparkSession.getActiveSession()
     if active is not None:
-        ensure_checkpoint_dir(active)
-        return active
+        return tune_session(active)
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder.master(master or f"local[{cpus}]")
@@ -46,6 +45,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                                  tempfile.mkdtemp(prefix="tickframe-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    tune_session(spark)
+    return spark
+
+
+def tune_session(spark: SparkSession) -> SparkSession:
+    """Runtime settings the library relies on; safe on any existing session.
+
+    Feature plans carry ~100 aliased window columns; Catalyst's constraint
+    propagation grows quadratically in them and stalls the optimizer once
+    such a plan is joined (class weights, key sizes), so it is switched off.
+    Filters are still pushed down (that is a separate rule).
+    """
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -35,8 +35,10 @@ def read_list_book(spark: SparkSession, path: str, symbol: str | None = None) ->
     """
     _check_exists(spark, path)
     raw = spark.read.schema(LIST_SCHEMA).option("header", "false").csv(path)
+    extra = [c for c in raw.columns if c not in ("t", "bid_p", "bid_s", "ask_p", "ask_s")]
     out = raw.select(
-        F.timestamp_micros(F.col("t").cast("long").__floordiv__(1000)).alias("ts"),
+        *extra,
+        F.timestamp_micros(F.expr("t div 1000")).cast("timestamp_ntz").alias("ts"),
         F.monotonically_increasing_id().alias("seq"),
         _num_list(F.col("bid_p")).alias("bid_prices"), _num_list(F.col("bid_s")).alias("bid_sizes"),
         _num_list(F.col("ask_p")).alias("ask_prices"), _num_list(F.col("ask_s")).alias("ask_sizes"))
@@ -62,7 +64,8 @@ def read_wide_book(spark: SparkSession, path: str, levels: int = 10, strict: boo
     """
     _check_exists(spark, path)
     raw = spark.read.option("header", "true").schema(wide_csv_schema(levels)).csv(path)
-    ts = F.to_timestamp("timestamp")
+    ts = F.to_timestamp("timestamp").cast("timestamp_ntz")
+    extra = [c for c in raw.columns if c != "timestamp" and not c.split("_")[-1].isdigit()]
 
     def lst(side: str) -> Column:
         arr = F.array(*[F.col(f"{side}_{i}") for i in range(1, levels + 1)])
@@ -74,11 +77,11 @@ def read_wide_book(spark: SparkSession, path: str, levels: int = 10, strict: boo
                        for i in range(1, levels + 1)])
         ok = F.filter(lv, lambda x: x["bid_price"].isNotNull() & x["bid_size"].isNotNull()
                       & x["ask_price"].isNotNull() & x["ask_size"].isNotNull())
-        out = raw.select(ts.alias("ts"), ok.alias("_l")).select(
-            "ts", *[F.transform("_l", lambda x, s=s: x[s]).alias(a) for s, a in
+        out = raw.select(*extra, ts.alias("ts"), ok.alias("_l")).select(
+            *extra, "ts", *[F.transform("_l", lambda x, s=s: x[s]).alias(a) for s, a in
                     zip(("bid_price", "bid_size", "ask_price", "ask_size"), ARRAYS)])
     else:
-        out = raw.select(ts.alias("ts"), lst("bid_price").alias("bid_prices"),
+        out = raw.select(*extra, ts.alias("ts"), lst("bid_price").alias("bid_prices"),
                          lst("bid_size").alias("bid_sizes"), lst("ask_price").alias("ask_prices"),
                          lst("ask_size").alias("ask_sizes"))
     # file order breaks ties of equal timestamps (ids grow along each split)
