@@ -33,12 +33,24 @@ def with_drawdown(ledger: DataFrame, o: Ordering = Ordering(), *extra_keys: str)
 
 
 def backtest_metrics(ledger: DataFrame, cfg: MetricsConfig = MetricsConfig(),
-                     o: Ordering = Ordering(), *extra_keys: str) -> DataFrame:
-    """AGG1-17: one row of metrics per key (and per fold with ``extra_keys``)."""
+                     o: Ordering = Ordering(), *extra_keys: str,
+                     materialize_input: bool = True) -> DataFrame:
+    """AGG1-17: one row of metrics per key (and per fold with ``extra_keys``).
+
+    The ledger is read by the drawdown scan, the aggregate and the three
+    quantile passes. With ``materialize_input`` its five needed columns are
+    written once to the shared checkpoint folder and read back, which cuts the
+    ledger's lineage (windows, scans, joins) instead of re-running it per pass.
+    """
     if "cumulative_pnl" not in ledger.columns:
         raise ValueError("DataFrame must contain 'cumulative_pnl' column")
     keys = [*o.keys, *extra_keys]
-    x = with_drawdown(ledger if POS in ledger.columns else with_positions(ledger, o), o, *extra_keys)
+    need = [*keys, *o.order, "pnl", "cumulative_pnl", "trade_size"]
+    slim = ledger.select(*need, *([POS] if POS in ledger.columns else []))
+    if materialize_input:
+        from .models import materialize
+        slim = materialize(slim, "metrics-input")
+    x = with_drawdown(slim if POS in slim.columns else with_positions(slim, o), o, *extra_keys)
     sq = math.sqrt(cfg.trading_days)
     pnl, ts_ = F.col("pnl"), F.col("trade_size")
     last_key = F.struct(*[F.col(c) for c in o.order])
