@@ -36,10 +36,28 @@ def interval_seconds(spec: str) -> int:
 
 
 def floor_time(c: Column, seconds: int) -> Column:
-    """Left edge of the ``seconds``-wide bucket holding ``c`` (epoch aligned)."""
+    """Left edge of the ``seconds``-wide bucket holding ``c`` (epoch aligned).
+
+    Pure wall-clock arithmetic on TIMESTAMP_NTZ fields (date, hour, minute,
+    second), so the result does not depend on the session time zone -- casts
+    through TIMESTAMP would shift values around daylight-saving changes.
+    """
+    t = c.cast("timestamp_ntz")
+    day_us = 86_400_000_000
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    sec = F.date_part(F.lit("SECOND"), t)          # seconds with microsecond fraction
+    tod = (F.hour(t).cast("long") * 3_600_000_000 + F.minute(t).cast("long") * 60_000_000
+           + (sec * F.lit(1_000_000)).cast("long"))
     us = F.lit(int(seconds) * 1_000_000)
-    micros = F.unix_micros(c.cast("timestamp"))
-    return F.timestamp_micros(F.floor(micros / us) * us).cast("timestamp_ntz")
+    b = F.floor((days * F.lit(day_us) + tod) / us) * us
+    d = F.floor(b / F.lit(day_us))
+    r = b - d * F.lit(day_us)
+    date = F.date_add(F.lit("1970-01-01").cast("date"), d.cast("int"))
+    return F.make_timestamp_ntz(
+        F.year(date), F.month(date), F.dayofmonth(date),
+        F.floor(r / F.lit(3_600_000_000)).cast("int"),
+        F.floor((r % F.lit(3_600_000_000)) / F.lit(60_000_000)).cast("int"),
+        ((r % F.lit(60_000_000)).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(8,6)"))
 
 
 def with_key_size(df: DataFrame, o: Ordering, out: str = "n_rows") -> DataFrame:
