@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ModelConfig
+from ..session import scratch_table as materialize
 
 # Model names the reference's factory accepts.
 MODEL_TYPES = ("logistic_regression", "random_forest", "lightgbm", "lstm", "transformer")
@@ -78,25 +79,14 @@ def fit(train: DataFrame, features: Sequence[str], cfg: ModelConfig = ModelConfi
     # re-planning and re-running the window stages
     df = materialize(df.select(*features, F.col(label).cast("double").alias(label),
                                *([w] if w else [])), "train")
-    try:
-        if cfg.model_type == "logistic_regression" and "reg_param" not in cfg.params:
-            # the reference's C=1 penalty on a summed loss equals regParam = 1 / (C * sum(w))
-            # on Spark's averaged loss; sum(w) is one aggregate
-            tot = df.agg(F.sum(F.col(w)) if w else F.count(F.lit(1))).first()[0]
-            c = float(cfg.params.get("C", 1.0))
-            cfg = ModelConfig(cfg.model_type, {**cfg.params, "reg_param": 1.0 / (c * float(tot))},
-                              cfg.seed)
-        return build_pipeline(features, cfg, n_classes, label, w).fit(df)
-    finally:
-        pass
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
-    from ..sources.sinks import scratch_path
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if cfg.model_type == "logistic_regression" and "reg_param" not in cfg.params:
+        # the reference's C=1 penalty on a summed loss equals regParam = 1 / (C * sum(w))
+        # on Spark's averaged loss; sum(w) is one aggregate
+        tot = df.agg(F.sum(F.col(w)) if w else F.count(F.lit(1))).first()[0]
+        c = float(cfg.params.get("C", 1.0))
+        cfg = ModelConfig(cfg.model_type, {**cfg.params, "reg_param": 1.0 / (c * float(tot))},
+                          cfg.seed)
+    return build_pipeline(features, cfg, n_classes, label, w).fit(df)
 
 
 def _ovr_probabilities(raw: str, n: int):

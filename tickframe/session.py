@@ -7,11 +7,14 @@ absent, which is the case for local tests.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -42,7 +45,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if not SparkConf().get("spark.checkpoint.dir", None):
         # Local runs only: spark-submit on a cluster passes the shared folder.
         builder = builder.config("spark.checkpoint.dir",
-                                 tempfile.mkdtemp(prefix="tickframe-ckpt-"))
+                                 local_scratch(master or f"local[{cpus}]"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     tune_session(spark)
@@ -65,13 +68,55 @@ def tune_session(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for ``checkpoint()`` and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local runs)
-    a fresh folder under the system temp area is registered.
+    Read from ``spark.checkpoint.dir``. Only a local master may go without that
+    setting: it gets a fresh folder under the system temp area. A cluster
+    without it is an error, as executors cannot see a driver-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="tickframe-ckpt-")
+        current = local_scratch(sc.master)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def local_scratch(master: str) -> str:
+    """A temp folder for a ``local`` / ``local[n]`` master; raises for any other."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
+    return tempfile.mkdtemp(prefix="tickframe-ckpt-")
+
+
+_written: dict[str, SparkSession] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder, deleted when the driver ends."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _written[path] = spark
+    return path
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as parquet in the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(prefix: str = "") -> None:
+    """Delete the intermediate folders this process wrote whose name starts with ``prefix``."""
+    for path, spark in list(_written.items()):
+        if not os.path.basename(path).startswith(prefix):
+            continue
+        del _written[path]
+        try:
+            jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001  the session may be gone already
+            pass
+
+
+atexit.register(drop_scratch)

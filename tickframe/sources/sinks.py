@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path  # noqa: F401  callers find it next to the writers
+
 
 def save_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                partition_by: tuple[str, ...] = ()) -> None:
@@ -41,14 +43,6 @@ def save_evaluation(predictions: DataFrame, tables: dict[str, DataFrame], path:
         save_table(t, os.path.join(path, name), "json")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local temp)."""
-    from ..session import ensure_checkpoint_dir
-    import uuid
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 def write_list_csv(book: DataFrame, path: str, levels: int = 5) -> None:
     """Write a wide book in the list-CSV layout (ns epoch + four joined lists)."""
     def joined(side: str):
