@@ -1 +1,159 @@
-"""NumPy kernels that run inside tasks (pickled by value, see the package root)."""
+"""NumPy kernels that run inside tasks (pickled by value, see the package root).
+
+Texts of an Arrow batch are worked on as one byte array with offsets, in
+slices of bounded size, so temporary arrays stay small whatever the batch.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+
+U = np.uint64
+MASK = (1 << 64) - 1
+#: Base of the rolling polynomial (any odd number has an inverse modulo 2**64).
+BASE = 0x9E3779B97F4A7C15
+SLICE_BYTES = 2 << 20
+
+#: Space and the controls 9 to 13 separate words.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A-Z to a-z, all other bytes unchanged.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Lower case, with ASCII punctuation as space.
+PLAIN = LOWER.copy()
+PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
+#: A random 64-bit value per byte, so that the polynomial does not see raw bytes.
+BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.int64).view(U) * U(2) + U(1)
+
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        size = max(n, 1 << 16)
+        have = np.full(size, base, U)
+        have[0] = 1
+        have = np.cumprod(have, dtype=U)
+        _powers[base] = have
+    return have[:n]
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit values."""
+    x = x ^ (x >> U(32))
+    x = x * U(0xD6E8FEB86659FD93)
+    x ^= x >> U(32)
+    x *= U(0xD6E8FEB86659FD93)
+    x ^= x >> U(32)
+    return x
+
+
+def texts(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and row offsets of a string column; null is empty."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    col = col.cast(pa.large_binary())
+    if col.null_count:
+        col = col.fill_null(b"")
+    _, off, data = col.buffers()
+    if len(col) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offs = np.frombuffer(off, np.int64)[col.offset:col.offset + len(col) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw, offs
+
+
+def slices(offs: np.ndarray, limit: int = SLICE_BYTES):
+    """Row ranges of at most ``limit`` bytes (a longer text alone)."""
+    a, n = 0, len(offs) - 1
+    while a < n:
+        b = int(np.searchsorted(offs, offs[a] + limit, "right")) - 1
+        b = min(max(b, a + 1), n)
+        yield a, b
+        a = b
+
+
+def row_of(offs: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.searchsorted(offs, at, "right") - 1
+
+
+def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word; ``offs`` counts from the start of ``data``."""
+    n = len(data)
+    if n == 0:
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    ink = ~SPACE[data]
+    edge = np.zeros(n + 1, bool)
+    edge[offs] = True
+    first, last = ink.copy(), ink.copy()
+    first[1:] &= ~ink[:-1] | edge[1:n]
+    last[:-1] &= ~ink[1:] | edge[1:n]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, row_of(offs, starts)
+
+
+def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span, equal for equal bytes anywhere."""
+    h = np.zeros(len(data) + 1, U)
+    np.cumsum(BYTE_VALUE[data] * powers(BASE, len(data)), out=h[1:])
+    inv = powers(pow(BASE, -1, 1 << 64), len(data) + 1)
+    return mix64((h[ends] - h[starts]) * inv[starts] + (ends - starts).astype(U))
+
+
+def grams(values: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every ``k`` consecutive values (by position, across rows)."""
+    n = len(values) - k + 1
+    if n <= 0:
+        return np.zeros(0, U)
+    h = np.zeros(len(values) + 1, U)
+    np.cumsum(values * powers(BASE, len(values)), out=h[1:])
+    inv = powers(pow(BASE, -1, 1 << 64), n)
+    return mix64((h[k:] - h[:n]) * inv + U(k))
+
+
+# ------------------------------------------------------------------ simhash
+
+def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of the groups of ``hashes`` that start at ``first``
+    (none empty): a bit is set if it is in over half of the group's hashes."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+    size = np.diff(np.append(first, len(hashes)))
+    return np.packbits(ones * 2 > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def shingle_fingerprints(data: np.ndarray, offs: np.ndarray, shingle: int, hash_of) -> np.ndarray:
+    """Fingerprint of every row over its ``shingle``-word shingles, repeats
+    included: words lower-cased (A-Z) and joined by one space; fewer words: the
+    whole sequence; none: zero. ``hash_of(bytes) -> int``."""
+    low = LOWER[data]
+    starts, ends, row = words(low, offs)
+    out = np.zeros(len(offs) - 1, U)
+    if len(starts) == 0:
+        return out
+    # squeeze the gaps between words to one space
+    keep = np.zeros(len(low) + 1, bool)
+    keep[:-1] = ~SPACE[low]
+    keep[ends] = True
+    new = np.cumsum(keep) - 1
+    low = np.append(low, np.uint8(32))
+    # where a row ends in a word, the next row's first byte stands at ``ends``
+    low[ends[SPACE[low[ends]]]] = 32
+    text = low[keep].tobytes()
+    a, b = new[starts], new[ends - 1] + 1
+    n_words = np.bincount(row, minlength=len(out))
+    firsts = np.concatenate([[0], np.cumsum(n_words)[:-1]])
+    n_sh = np.where(n_words >= shingle, n_words - shingle + 1, np.minimum(n_words, 1))
+    sh_row = np.repeat(np.arange(len(out)), n_sh)
+    sh_first = np.concatenate([[0], np.cumsum(n_sh)[:-1]])
+    i = firsts[sh_row] + np.arange(len(sh_row)) - sh_first[sh_row]
+    j = i + np.minimum(shingle, n_words[sh_row]) - 1
+    hs = np.fromiter(map(hash_of, [text[x:y] for x, y in zip(a[i].tolist(), b[j].tolist())]), U, len(i))
+    full = n_sh > 0
+    out[full] = majority(hs, sh_first[full])
+    return out

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, exact, mixing, warc
+from . import chat, exact, mixing, simhash, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -145,3 +145,11 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
        CAST(sum(length({_escape_sql('role')}) + length({_escape_sql('text')}) + {len(chat.BEGIN + chat.MIDDLE + chat.END)}) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+
+# ------------------------------------------------------------------ near dedup
+
+@query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2, seed=42)
+    return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
