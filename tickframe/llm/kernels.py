@@ -157,3 +157,114 @@ def shingle_fingerprints(data: np.ndarray, offs: np.ndarray, shingle: int, hash_
     full = n_sh > 0
     out[full] = majority(hs, sh_first[full])
     return out
+
+
+# ------------------------------------------------------------------ decontamination
+
+def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every word of the texts, letters A-Z lower-cased and ASCII
+    punctuation read as space."""
+    plain = PLAIN[data]
+    starts, ends, row = words(plain, offs)
+    return spans_hash(plain, starts, ends), row
+
+
+class ItemIndex:
+    """SimHash multi-index over a block of benchmark items.
+
+    Items are kept by their number of words. A fingerprint is taken over word
+    hashes. It is cut into ``blocks`` blocks; two fingerprints within ``radius``
+    bits agree in at least one block up to ``radius // blocks`` bits. Per block a
+    table lists, for every value, the items whose block is that near.
+    """
+
+    def __init__(self, items: list[tuple], shingle: int, radius: int, blocks: int, least: float):
+        self.shingle, self.radius, self.blocks, self.least = shingle, radius, blocks, least
+        self.width = 64 // blocks
+        raw = [(t or "").encode() for _, t in items]
+        offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        hashes, row = word_hashes(np.frombuffer(b"".join(raw), np.uint8), offs)
+        by_len: dict[int, list[int]] = {}
+        per_item = [hashes[row == i] for i in range(len(items))]
+        for i, h in enumerate(per_item):
+            if len(h):
+                by_len.setdefault(len(h), []).append(i)
+        self.ids = [x for x, _ in items]
+        self.counts = [self.weigh(h) for h in per_item]
+        self.by_len = {}
+        near = [v for v in range(1 << self.width) if v.bit_count() <= radius // blocks]
+        near = np.array(near, np.int64)
+        for n, group in sorted(by_len.items()):
+            fps = np.concatenate([majority(per_item[i], np.array([0])) for i in group])
+            tables = []
+            for b in range(blocks):
+                value = ((fps >> U(b * self.width)) & U((1 << self.width) - 1)).astype(np.int64)
+                keys = (value[:, None] ^ near[None, :]).ravel()
+                who = np.repeat(np.arange(len(group)), len(near))
+                order = np.argsort(keys, kind="stable")
+                first = np.searchsorted(keys[order], np.arange((1 << self.width) + 1)).astype(np.int32)
+                tables.append((first, who[order].astype(np.int32)))
+            self.by_len[n] = (np.array(group), fps, tables)
+        sizes = sorted({min(shingle, n) for n in by_len})
+        self.members = {k: np.unique(np.concatenate(
+            [grams(per_item[i], k) for n, g in by_len.items() if min(shingle, n) == k for i in g]))
+            for k in sizes}
+
+    def weigh(self, hashes: np.ndarray) -> dict[int, int]:
+        """Shingle -> weight, the number of its occurrences."""
+        k = min(self.shingle, len(hashes))
+        keys, n = np.unique(grams(hashes, k) if k else hashes, return_counts=True)
+        return dict(zip(keys.tolist(), n.tolist()))
+
+    def near(self, fps: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``fps``, item number) of all pairs within the radius."""
+        group, own, tables = self.by_len[n_words]
+        found = []
+        for b, (first, who) in enumerate(tables):
+            value = ((fps >> U(b * self.width)) & U((1 << self.width) - 1)).astype(np.int64)
+            size = first[value + 1] - first[value]
+            at = np.repeat(np.arange(len(fps)), size)
+            skip = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+            found.append(np.stack([at, who[first[value[at]] + skip]]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        close = np.bitwise_count(fps[pairs[0]] ^ own[pairs[1]]) <= self.radius
+        return pairs[0][close], group[pairs[1][close]]
+
+    def similarity(self, hashes: np.ndarray, item: int) -> float:
+        mine, its = self.weigh(hashes), self.counts[item]
+        both = sum(min(n, its.get(k, 0)) for k, n in mine.items())
+        total = sum(mine.values()) + sum(its.values()) - both
+        return both / total if total else 0.0
+
+    def search(self, data: np.ndarray, offs: np.ndarray):
+        """(row, item, first word, similarity) of every window as long as an item
+        whose weighted shingles are similar enough to it."""
+        hashes, row = word_hashes(data, offs)
+        if len(hashes) == 0:
+            return
+        for k, members in self.members.items():
+            g = grams(hashes, k)
+            hit = np.zeros(len(hashes) + 1, np.int64)
+            at = np.searchsorted(members, g)
+            at[at == len(members)] = 0
+            known = members[at] == g
+            known &= row[:len(g)] == row[k - 1:]
+            if not known.any():
+                continue
+            np.cumsum(known, out=hit[1:len(g) + 1])
+            hit[len(g) + 1:] = hit[len(g)]
+            for n in self.by_len:
+                if min(self.shingle, n) != k or n > len(hashes):
+                    continue
+                # a window that holds too few shingles of any item cannot be similar
+                first = np.arange(len(hashes) - n + 1)
+                enough = hit[first + n - k + 1] - hit[first] >= self.least * (n - k + 1)
+                first = first[enough & (row[first] == row[first + n - 1])]
+                for cut in range(0, len(first), 1 << 12):
+                    part = first[cut:cut + (1 << 12)]
+                    window = hashes[part[:, None] + np.arange(n)]
+                    fps = majority(window.ravel(), np.arange(len(part)) * n)
+                    for w, item in zip(*self.near(fps, n)):
+                        s = self.similarity(window[w], int(item))
+                        if s >= self.least:
+                            yield int(row[part[w]]), int(item), int(part[w]), s

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, exact, mixing, simhash, warc
+from . import chat, decontam, exact, mixing, simhash, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -153,3 +153,10 @@ FROM c GROUP BY conv_id"""
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2, seed=42)
     return g.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ------------------------------------------------------------------ decontamination
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
