@@ -8,6 +8,8 @@ import sys
 
 from pyspark import cloudpickle
 
+from . import features as _features
 from . import kernels as _kernels
 
-cloudpickle.register_pickle_by_value(sys.modules[_kernels.__name__])
+for _m in (_features, _kernels):
+    cloudpickle.register_pickle_by_value(sys.modules[_m.__name__])

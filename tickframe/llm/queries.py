@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontam, exact, mixing, simhash, warc
+from . import chat, classify, decontam, exact, mixing, simhash, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -160,3 +160,25 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ------------------------------------------------------------------ classifiers
+
+def _verdicts(scored: DataFrame, parts: int, held: int, cut: float) -> DataFrame:
+    held_out = F.coalesce(classify.remainder("doc_id", parts) == held, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    train = classify.training_labels(table(spark, sf_dir, "labels"), "toxic", 4, 2)
+    return _verdicts(classify.score_toxic(docs, classify.fit_toxic(docs, train)), 4, 2, 0.3)
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    train = classify.training_labels(table(spark, sf_dir, "labels"), "quality", 3, 1)
+    return _verdicts(classify.score_quality(docs, classify.fit_ranking(docs, train)), 3, 1, 0.5)
