@@ -6,6 +6,8 @@ slices of bounded size, so temporary arrays stay small whatever the batch.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 
@@ -77,6 +79,13 @@ def slices(offs: np.ndarray, limit: int = SLICE_BYTES):
         a = b
 
 
+def ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges ``lo <= x < hi``, one range after the other."""
+    size = np.maximum(hi - lo, 0)
+    skip = np.repeat(np.cumsum(size) - size, size)
+    return np.repeat(lo, size) + np.arange(size.sum()) - skip
+
+
 def row_of(offs: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(offs, at, "right") - 1
 
@@ -222,10 +231,8 @@ class ItemIndex:
         found = []
         for b, (first, who) in enumerate(tables):
             value = ((fps >> U(b * self.width)) & U((1 << self.width) - 1)).astype(np.int64)
-            size = first[value + 1] - first[value]
-            at = np.repeat(np.arange(len(fps)), size)
-            skip = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
-            found.append(np.stack([at, who[first[value[at]] + skip]]))
+            lo, hi = first[value], first[value + 1]
+            found.append(np.stack([np.repeat(np.arange(len(fps)), hi - lo), who[ranges(lo, hi)]]))
         pairs = np.unique(np.concatenate(found, axis=1), axis=1)
         close = np.bitwise_count(fps[pairs[0]] ^ own[pairs[1]]) <= self.radius
         return pairs[0][close], group[pairs[1][close]]
@@ -244,22 +251,22 @@ class ItemIndex:
             return
         for k, members in self.members.items():
             g = grams(hashes, k)
-            hit = np.zeros(len(hashes) + 1, np.int64)
             at = np.searchsorted(members, g)
             at[at == len(members)] = 0
             known = members[at] == g
             known &= row[:len(g)] == row[k - 1:]
-            if not known.any():
-                continue
-            np.cumsum(known, out=hit[1:len(g) + 1])
-            hit[len(g) + 1:] = hit[len(g)]
+            hits = np.flatnonzero(known)
             for n in self.by_len:
-                if min(self.shingle, n) != k or n > len(hashes):
+                # a window that holds too few shingles of any item cannot be similar:
+                # ``need`` hits in a row must lie in it
+                need = max(1, math.ceil(self.least * (n - k + 1) - 1e-9))
+                if min(self.shingle, n) != k or len(hits) < need:
                     continue
-                # a window that holds too few shingles of any item cannot be similar
-                first = np.arange(len(hashes) - n + 1)
-                enough = hit[first + n - k + 1] - hit[first] >= self.least * (n - k + 1)
-                first = first[enough & (row[first] == row[first + n - 1])]
+                lo, hi = hits[need - 1:] - (n - k), hits[:len(hits) - need + 1]
+                fits = lo <= hi
+                first = np.unique(ranges(np.maximum(lo[fits], 0), hi[fits] + 1))
+                first = first[first + n <= len(hashes)]
+                first = first[row[first] == row[first + n - 1]]
                 for cut in range(0, len(first), 1 << 12):
                     part = first[cut:cut + (1 << 12)]
                     window = hashes[part[:, None] + np.arange(n)]
