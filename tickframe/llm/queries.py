@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, classify, decontam, exact, mixing, simhash, warc
+from . import chat, classify, decontam, exact, mixing, repeats, simhash, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -182,3 +182,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     train = classify.training_labels(table(spark, sf_dir, "labels"), "quality", 3, 1)
     return _verdicts(classify.score_quality(docs, classify.fit_ranking(docs, train)), 3, 1, 0.5)
+
+
+# ------------------------------------------------------------------ substrings
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = repeats.remove_repeated_words(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", F.col("n").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = repeats.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", F.col("n").alias("n_bytes"), "n_removed",
+                    F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
