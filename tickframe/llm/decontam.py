@@ -99,9 +99,26 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least:
         F.col("b.similarity").alias("similarity"), (-F.col("b.neg")).alias("first_word"))
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` without a leak, all columns. Rows with a null id are
-    judged together, like any other rows that share an id."""
-    id_col = how.get("id_col", "doc_id")
-    bad = find_leaks(docs, items, **how).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+def drop_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY,
+               radius: int = RADIUS, blocks: int = BLOCKS, text_col: str = "text", item_id: str = "item_id",
+               item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose own text repeats no item (see ``find_leaks``), all
+    columns. Rows are judged one by one, so nothing is shuffled."""
+    sc = docs.sparkSession.sparkContext
+    at = docs.columns.index(text_col)
+
+    def keeper(shared):
+        def run(batches):
+            import pyarrow as pa
+            index = kernels.ItemIndex(shared.value, shingle, radius, blocks, least)
+            for batch in batches:
+                raw, offs = kernels.texts(batch.column(at))
+                bad = {a + r for a, b in kernels.slices(offs)
+                       for r, *_ in index.search(raw[offs[a]:offs[b]], offs[a:b + 1] - offs[a])}
+                yield batch.filter(pa.array([r not in bad for r in range(batch.num_rows)], pa.bool_()))
+        return run
+
+    out = docs
+    for block in _blocks(items, item_id, item_text):
+        out = out.mapInArrow(keeper(sc.broadcast(block)), docs.schema)
+    return out
