@@ -46,12 +46,15 @@ def powers(base: int, n: int) -> np.ndarray:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
-    x = x ^ (x >> U(32))
-    x = x * U(0xD6E8FEB86659FD93)
-    x ^= x >> U(32)
-    x *= U(0xD6E8FEB86659FD93)
-    x ^= x >> U(32)
-    return x
+    t = x >> U(32)
+    t ^= x
+    t *= U(0xD6E8FEB86659FD93)
+    u = t >> U(32)
+    t ^= u
+    t *= U(0xD6E8FEB86659FD93)
+    np.right_shift(t, U(32), out=u)
+    t ^= u
+    return t
 
 
 def texts(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -120,9 +123,12 @@ def grams(values: np.ndarray, k: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, U)
     h = np.zeros(len(values) + 1, U)
-    np.cumsum(values * powers(BASE, len(values)), out=h[1:])
-    inv = powers(pow(BASE, -1, 1 << 64), n)
-    return mix64((h[k:] - h[:n]) * inv + U(k))
+    np.multiply(values, powers(BASE, len(values)), out=h[1:])
+    np.cumsum(h, out=h)
+    g = h[k:] - h[:n]
+    g *= powers(pow(BASE, -1, 1 << 64), n)
+    g += U(k)
+    return mix64(g)
 
 
 # ------------------------------------------------------------------ simhash

@@ -12,6 +12,7 @@ import numpy as np
 from .kernels import BYTE_VALUE, U, grams, mix64, ranges, row_of, spans_hash, words
 
 KEY_BYTES = 5
+HIGH, LOW = U(0xFFFFFFFF00000000), U(0xFFFFFFFF)
 
 
 class Words:
@@ -19,10 +20,15 @@ class Words:
     n, k = 35, 18
 
     @staticmethod
-    def symbols(data, offs):
-        """Hash, row, first byte and end byte of every symbol."""
+    def places(data, offs):
+        """Row, first byte and end byte of every symbol."""
         starts, ends, row = words(data, offs)
-        return spans_hash(data, starts, ends), row, starts, ends
+        return row, starts, ends
+
+    @staticmethod
+    def values(data, starts, ends):
+        """Hash of every symbol."""
+        return spans_hash(data, starts, ends)
 
     @staticmethod
     def keep(data, starts, ends, lo, hi) -> bytes:
@@ -41,9 +47,13 @@ class Bytes:
     n, k = 50, 24
 
     @staticmethod
-    def symbols(data, offs):
-        at = np.arange(len(data))
-        return BYTE_VALUE[data], np.repeat(np.arange(len(offs) - 1), np.diff(offs)), at, at + 1
+    def places(data, offs):
+        at = np.arange(len(data) + 1)
+        return np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs)), at[:-1], at[1:]
+
+    @staticmethod
+    def values(data, starts, ends):
+        return BYTE_VALUE[data]
 
     @staticmethod
     def keep(data, starts, ends, lo, hi) -> bytes:
@@ -63,17 +73,17 @@ def anchors(values: np.ndarray, row: np.ndarray, n: int, k: int) -> tuple[np.nda
         z = np.zeros(0, np.int64)
         return z, z.astype(U)
     g = grams(values, k)
-    low, at = g, np.arange(len(g), dtype=np.int32)
+    # half a hash, then the position counted backwards: the minimum of a window is
+    # its smallest (half) hash, rightmost of equals
+    low = (g & HIGH) | (LOW - np.arange(len(g), dtype=U))
     span = 1
-    while span < w:                       # smallest of the last ``span`` grams, rightmost of equals
+    while span < w:
         step = min(span, w - span)
-        right = low[step:] <= low[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        low = np.where(right, low[step:], low[:-step])
+        low = np.minimum(low[:-step], low[step:])
         span += step
     inside = row[:total] == row[n - 1:]
     mark = np.zeros(len(g), bool)
-    mark[at[:total][inside]] = True
+    mark[(LOW - (low[:total][inside] & LOW)).astype(np.int64)] = True
     pos = np.flatnonzero(mark)
     return pos, g[pos]
 
@@ -97,8 +107,8 @@ def unpack(raw: bytes) -> np.ndarray:
 def anchor_blobs(kind, data, offs, ids: np.ndarray, buckets: int, most: int):
     """(bucket, ids, counts, keys) of the anchors of some rows; a row names an
     anchor at most ``most`` times."""
-    values, row, _, _ = kind.symbols(data, offs)
-    _, h = pos, h = anchors(values, row, kind.n, kind.k)
+    row, starts, ends = kind.places(data, offs)
+    pos, h = anchors(kind.values(data, starts, ends), row, kind.n, kind.k)
     b, key = split_key(h, buckets)
     r = row[pos]
     order = np.lexsort((key, r, b))
@@ -117,12 +127,12 @@ def anchor_blobs(kind, data, offs, ids: np.ndarray, buckets: int, most: int):
         yield int(b[a]), ids[r[first[lo:hi]]].tobytes(), size[lo:hi].astype(np.int32).tobytes(), pack(key[a:z])
 
 
-def shared_anchors(ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int, hot: int):
+def shared_anchors(ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int, hot: int, parts: int):
     """Of a bucket's (id, key) pairs those whose key is shared (by several ids if
-    ``by_id``, else named more than once): per id its keys and the shard they meet
-    in. That is the shard of the smallest id, so that a row's neighbouring anchors
-    shared with one row meet in one place; keys in more than ``hot`` pairs are
-    dealt by key."""
+    ``by_id``, else named more than once), with the shard they meet in: (part, ids,
+    keys, shards), ids dealt over ``parts``. The shard is that of the smallest id, so
+    that a row's neighbouring anchors shared with one row meet in one place; keys in
+    more than ``hot`` pairs are dealt by key."""
     order = np.lexsort((ids, keys))
     i, k = ids[order], keys[order]
     new = np.concatenate([[True], k[1:] != k[:-1]])
@@ -140,33 +150,46 @@ def shared_anchors(ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int,
     same = np.ones(len(i), bool)          # one mention of a key by a row is enough from here on
     same[1:] = (i[1:] != i[:-1]) | (k[1:] != k[:-1])
     i, k, s = i[same], k[same], s[same]
-    order = np.argsort(i, kind="stable")
-    i, k, s = i[order], k[order], s[order]
-    first = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.zeros(0, np.int64)
-    for a, z in zip(first, np.append(first[1:], len(i))):
-        yield int(i[a]), pack(k[a:z]), s[a:z].tobytes()
-
-
-def _row_key(row: np.ndarray, bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
-    return mix64((key << U(24)) | bucket.astype(U)) + row.astype(U) * U(0x9E3779B97F4A7C15)
-
-
-def segments(kind, data, offs, known: list, buckets: int):
-    """(shard, row, first symbol, bytes) of the stretches around shared anchors.
-    ``known``: per row a list of (bucket, keys, shards)."""
-    values, row, starts, ends = kind.symbols(data, offs)
-    pos, h = anchors(values, row, kind.n, kind.k)
-    flat = [(r, b, unpack(k), np.frombuffer(s, np.int32)) for r, x in enumerate(known) for b, k, s in x]
-    if not flat or len(pos) == 0:
+    part = (mix64(i.view(U) + U(2)) % U(parts)).astype(np.int32)
+    order = np.lexsort((i, part))
+    i, k, s, part = i[order], k[order], s[order], part[order]
+    edge = np.searchsorted(part, np.arange(parts + 1))
+    for p in np.unique(part):
+        a, z = edge[p], edge[p + 1]
+        yield int(p), i[a:z].tobytes(), pack(k[a:z]), s[a:z].tobytes()
+
+
+def by_row(rows: list[tuple]):
+    """(id, names, shards) per id, from (bucket, ids, keys, shards): a name is an
+    anchor's key and bucket in 64 bits."""
+    ids = np.concatenate([np.frombuffer(i, np.int64) for _, i, _, _ in rows])
+    names = np.concatenate([(unpack(k) << U(24)) | U(b) for b, _, k, _ in rows])
+    shards = np.concatenate([np.frombuffer(s, np.int32) for _, _, _, s in rows])
+    order = np.argsort(ids, kind="stable")
+    ids, names, shards = ids[order], names[order], shards[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    for a, z in zip(first, np.append(first[1:], len(ids))):
+        yield int(ids[a]), names[a:z].tobytes(), shards[a:z].tobytes()
+
+
+def _in_row(row: np.ndarray, name: np.ndarray) -> np.ndarray:
+    return mix64(name) + row.astype(U) * U(0x9E3779B97F4A7C15)
+
+
+def segments(kind, data, offs, names: list, shards: list, buckets: int):
+    """(shard, row, first symbol, bytes) of the stretches around shared anchors, given
+    per row their packed names and shards."""
+    row, starts, ends = kind.places(data, offs)
+    pos, h = anchors(kind.values(data, starts, ends), row, kind.n, kind.k)
+    if len(pos) == 0 or not names:
         return
-    size = [len(x[2]) for x in flat]
-    have = _row_key(np.repeat([x[0] for x in flat], size), np.repeat([x[1] for x in flat], size),
-                    np.concatenate([x[2] for x in flat]))
-    shard = np.concatenate([x[3] for x in flat])
+    size = [len(x) // 8 for x in names]
+    have = _in_row(np.repeat(np.arange(len(names)), size), np.frombuffer(b"".join(names), U))
+    shard = np.frombuffer(b"".join(shards), np.int32)
     order = np.argsort(have)
     have, shard = have[order], shard[order]
     b, key = split_key(h, buckets)
-    mine = _row_key(row[pos], b, key)
+    mine = _in_row(row[pos], (key << U(24)) | b.astype(U))
     at = np.minimum(np.searchsorted(have, mine), len(have) - 1)
     hit = have[at] == mine
     pos, shard = pos[hit], shard[at[hit]]
@@ -182,9 +205,9 @@ def segments(kind, data, offs, known: list, buckets: int):
     cut[1:] = (r[1:] != r[:-1]) | (shard[1:] != shard[:-1]) | (lo[1:] > hi[:-1])
     first = np.flatnonzero(cut)
     last = np.append(first[1:], len(r)) - 1
-    for a, z in zip(first.tolist(), last.tolist()):
-        yield (int(shard[a]), int(r[a]), int(lo[a] - begin[a]),
-               data[starts[lo[a]]:ends[hi[z] - 1]].tobytes())
+    raw = data.tobytes()
+    yield from zip(shard[first].tolist(), r[first].tolist(), (lo[first] - begin[first]).tolist(),
+                   [raw[x:y] for x, y in zip(starts[lo[first]].tolist(), ends[hi[last] - 1].tolist())])
 
 
 def _runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -337,8 +360,11 @@ class RunIndex:
     Symbol 0 ends a piece, a byte b is symbol b + 1."""
 
     def __init__(self, text: np.ndarray):
-        self.text = text
-        sa = self._suffixes(text)
+        # a suffix that runs out differs from any other there
+        self.padded = np.concatenate([text, np.full(64, -1, np.int64)])
+        self.pack = np.full(len(text) + 64, -1, np.int64)
+        self.pack[:len(text)] = packed = self._packed(text)
+        sa = self._suffixes(packed)
         bwt = text[sa - 1]
         head = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
         self.n = len(text)
@@ -356,16 +382,22 @@ class RunIndex:
         self.keys = self.symbol[order] * self.width + order
 
     @staticmethod
-    def _suffixes(text: np.ndarray) -> np.ndarray:
-        """Suffix array by prefix doubling from 7 packed symbols."""
+    def _packed(text: np.ndarray) -> np.ndarray:
+        """7 symbols from every position on, in one number."""
         n = len(text)
         key = np.zeros(n, np.int64)
         for j in range(7):
             key *= 257
-            key[:n - j] += text[j:] if j else text
-        depth, rank = 7, None
+            key[:max(n - j, 0)] += text[j:]
+        return key
+
+    @staticmethod
+    def _suffixes(key: np.ndarray) -> np.ndarray:
+        """Suffix array by prefix doubling from 7 packed symbols."""
+        n = len(key)
+        depth = 7
         while True:
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             k = key[order]
             step = np.concatenate([[0], np.cumsum(k[1:] != k[:-1])])
             rank = np.empty(n, np.int64)
@@ -376,18 +408,16 @@ class RunIndex:
             key[:max(n - depth, 0)] += rank[depth:] + 1
             depth *= 2
 
-    def common(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-        """Length of the common prefix of the suffixes at ``a`` and ``b``, up to ``most``."""
+    def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of the suffixes at ``a`` and ``b``, up to ``most``
+        (within which the suffix at ``a`` does not end): first by packs of 7 symbols."""
         out = np.zeros(len(a), np.int64)
-        live = np.arange(len(a))
-        for j in range(most):
-            x, y = a[live] + j, b[live] + j
-            ok = (x < self.n) & (y < self.n)
-            live, x, y = live[ok], x[ok], y[ok]
-            live = live[self.text[x] == self.text[y]]
-            if len(live) == 0:
-                break
-            out[live] += 1
+        for step, symbols in ((7, self.pack), (1, self.padded)):
+            live = np.flatnonzero(out + step <= most)
+            while len(live):
+                live = live[symbols[a[live] + out[live]] == symbols[b[live] + out[live]]]
+                out[live] += step
+                live = live[out[live] + step <= most[live]]
         return out
 
     def stream(self, queries: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int):
@@ -419,15 +449,18 @@ class RunIndex:
                 up, down = np.maximum(j - 1, 0), np.minimum(j, len(self.keys) - 1)
                 ru, rd = self.by_symbol[up], self.by_symbol[down]
                 has_u, has_d = (j > 0) & (self.symbol[ru] == cm), (j < len(self.keys)) & (self.symbol[rd] == cm)
-                lu = np.where(has_u, self.common(at[m], self.sa_stop[ru], most), -1)
-                ld = np.where(has_d, self.common(at[m], self.sa_start[rd], most), -1)
+                # beyond the current match a longer common prefix has no use
+                both = self.common(np.tile(at[m], 2), np.concatenate([self.sa_stop[ru], self.sa_start[rd]]),
+                                   np.where(np.concatenate([has_u, has_d]), np.tile(size[m], 2), 0))
+                lu = np.where(has_u, both[:len(m)], -1)
+                ld = np.where(has_d, both[len(m):], -1)
                 go_up = lu >= ld
                 best = np.where(go_up, lu, ld)
                 ok = best >= 0
                 to = np.where(go_up, ru, rd)
                 row[m] = np.where(ok, self.lf[to] + np.where(go_up, self.stop[to] - self.start[to], 0), 0)
                 at[m] = np.where(ok, np.where(go_up, self.sa_stop[to], self.sa_start[to]) - 1, self.sa_start[0])
-                size[m] = np.where(ok, np.minimum(np.minimum(best, size[m]) + 1, most), 0)
+                size[m] = np.where(ok, np.minimum(best + 1, most), 0)
             yield q, size[:live], at[:live]
 
 
@@ -444,17 +477,19 @@ def repeated_bytes(bodies: list[bytes], ids: np.ndarray, starts: np.ndarray, n:
     at = np.flatnonzero(ok)
     if len(at) == 0:
         return
+    at = at[np.argsort(h[at])]
     who = ids[seg_of[at]]
-    order = np.lexsort((who, h[at]))
-    at, who = at[order], who[order]
     k = h[at]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     count = np.diff(np.append(first, len(at)))
-    several = who[first] != who[first + count - 1]
-    later = np.repeat(several, count) & (who != np.repeat(who[first], count))
+    least = np.minimum.reduceat(who, first)
+    several = least != np.maximum.reduceat(who, first)
+    mine = who == np.repeat(least, count)
     asked, chosen = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    asked[at[later]] = True
-    chosen[at[first[several]]] = True
+    asked[at[np.repeat(several, count) & ~mine]] = True
+    # the first place of the smallest id
+    place = np.minimum.reduceat(np.where(mine, at, len(data)), first)
+    chosen[place[several]] = True
     lo, hi = _runs(chosen)
     if len(lo) == 0:
         return

@@ -63,14 +63,24 @@ def _spans(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str) -> tu
             ids.append(np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32)))
             keys.append(matching.unpack(k))
         bucket = table.column("bucket")[0].as_py()
-        rows = list(matching.shared_anchors(np.concatenate(ids), np.concatenate(keys), by_id, shards, HOT))
-        cols = list(zip(*rows)) if rows else [(), (), ()]
-        return pa.table({"id": pa.array(cols[0], pa.int64()), "bucket": pa.array([bucket] * len(rows), pa.int32()),
-                         "keys": pa.array(cols[1], pa.binary()), "shards": pa.array(cols[2], pa.binary())})
+        rows = list(matching.shared_anchors(np.concatenate(ids), np.concatenate(keys), by_id, shards, HOT, width))
+        cols = list(zip(*rows)) if rows else [(), (), (), ()]
+        return pa.table({"part": pa.array(cols[0], pa.int32()), "bucket": pa.array([bucket] * len(rows), pa.int32()),
+                         "ids": pa.array(cols[1], pa.binary()), "keys": pa.array(cols[2], pa.binary()),
+                         "shards": pa.array(cols[3], pa.binary())})
+
+    def gather(table):
+        import pyarrow as pa
+        rows = list(matching.by_row(list(zip(*(table.column(n).to_pylist()
+                                               for n in ("bucket", "ids", "keys", "shards"))))))
+        cols = list(zip(*rows))
+        return pa.table({"id": pa.array(cols[0], pa.int64()), "names": pa.array(cols[1], pa.binary()),
+                         "shards": pa.array(cols[2], pa.binary())})
 
     blobs = src.select("id", "text").mapInArrow(emit, "bucket int, ids binary, counts binary, keys binary")
-    shared = blobs.groupBy("bucket").applyInArrow(share, "id bigint, bucket int, keys binary, shards binary")
-    known = shared.groupBy("id").agg(F.collect_list(F.struct("bucket", "keys", "shards")).alias("known"))
+    shared = blobs.groupBy("bucket").applyInArrow(
+        share, "part int, bucket int, ids binary, keys binary, shards binary")
+    known = shared.groupBy("part").applyInArrow(gather, "id bigint, names binary, shards binary")
 
     def cut(batches):
         import pyarrow as pa
@@ -79,9 +89,9 @@ def _spans(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str) -> tu
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, b in kernels.slices(offs):
                 at = offs[a:b + 1]
-                known = [[(x["bucket"], x["keys"], x["shards"]) for x in row]
-                         for row in batch.column(3).slice(a, b - a).to_pylist()]
-                rows = list(matching.segments(kind, raw[at[0]:at[-1]], at - at[0], known, width))
+                rows = list(matching.segments(kind, raw[at[0]:at[-1]], at - at[0],
+                                              batch.column(3).slice(a, b - a).to_pylist(),
+                                              batch.column(4).slice(a, b - a).to_pylist(), width))
                 if rows:
                     s, r, first, body = zip(*rows)
                     r = [a + x for x in r]
@@ -89,7 +99,7 @@ def _spans(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str) -> tu
                         [pa.array(s, pa.int32()), pa.array(ids[r]), pa.array(tags[r]), pa.array(first, pa.int64()),
                          pa.array(body, pa.binary())], ["shard", "id", "tag", "first", "body"])
 
-    pieces = by_key.join(known.hint("shuffle_hash"), "id").select("id", "tag", "text", "known").mapInArrow(
+    pieces = by_key.join(known.hint("shuffle_hash"), "id").select("id", "tag", "text", "names", "shards").mapInArrow(
         cut, "shard int, id bigint, tag bigint, first bigint, body binary")
 
     def match(table):
@@ -123,7 +133,7 @@ def _apply(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str, kept_
             for a, b in kernels.slices(offs):
                 at = offs[a:b + 1]
                 data = raw[at[0]:at[-1]]
-                _, row, starts, ends = kind.symbols(data, at - at[0])
+                row, starts, ends = kind.places(data, at - at[0])
                 size = np.bincount(row, minlength=b - a) if len(row) else np.zeros(b - a, np.int64)
                 begin = np.cumsum(size) - size
                 kept, removed, spans = [], [], []
