@@ -21,11 +21,15 @@ def _norm(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def prefix_hash(text_col: str, prefix_chars: int = PREFIX_CHARS) -> Column:
+    return F.xxhash64(F.substring(_norm(text_col), 1, prefix_chars))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """One row per distinct (id, text): ``id, keep_id, group_size, kept``, the
-    row's ``n_rows``, ``text_len`` and, where the whole text had to be read,
-    ``full_hash``.
+    row's ``n_rows``, ``text_len``, ``prefix_hash`` and, where the whole text had to
+    be read, ``full_hash``.
 
     Of equal texts the largest id stays. A null text counts as empty. Repeated
     rows with one id and one text are one document (``group_size`` counts every
@@ -34,7 +38,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     src = docs.select(F.col(id_col).alias("id"), _norm(text_col).alias("t"))
     keyed = src.select(F.octet_length("t").alias("text_len"),
-                       F.xxhash64(F.substring("t", 1, prefix_chars)).alias("prefix_hash"),
+                       prefix_hash("t", prefix_chars).alias("prefix_hash"),
                        "id", "t")
     # rounds 1 and 2: lengths held by several rows, then prefixes within them
     lens = (keyed.groupBy("text_len").agg(F.count(F.lit(1)).alias("n"))
@@ -52,12 +56,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.count(F.lit(1)).alias("n")), "exact-rows")
     alone = rows.filter("full_hash IS NULL").select(
         "id", F.col("id").alias("keep_id"), F.col("n").alias("group_size"), F.col("n").alias("n_rows"),
-        "text_len", "full_hash")
+        "text_len", "prefix_hash", "full_hash")
     multi = rows.filter("full_hash IS NOT NULL")
     groups = (multi.groupBy("text_len", "full_hash")
               .agg(F.max("id").alias("keep_id"), F.sum("n").alias("group_size")))
     grouped = multi.join(groups, ["text_len", "full_hash"]).select(
-        "id", "keep_id", "group_size", F.col("n").alias("n_rows"), "text_len", "full_hash")
+        "id", "keep_id", "group_size", F.col("n").alias("n_rows"), "text_len", "prefix_hash", "full_hash")
     return (alone.unionByName(grouped)
             .withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
             .withColumnRenamed("id", id_col))
@@ -67,14 +71,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of ``docs`` that stay, with all their columns (one of repeated rows)."""
     cols = docs.columns
     keep = (exact_groups(docs, id_col, text_col).filter("kept")
-            .select(F.col(id_col).alias("_id"), F.col("text_len").alias("_len"),
+            .select(F.col(id_col).alias("_id"), F.col("text_len").alias("_len"), F.col("prefix_hash").alias("_pre"),
                     F.col("full_hash").alias("_hash"), F.col("n_rows").alias("_n")))
     t = _norm(text_col)
-    # a row's own id finds its verdict; length and hash tell texts of one id apart
+    # a row's own id finds its verdict; length and hashes tell texts of one id apart
     hit = docs.withColumn("_key", F.col(id_col)).join(
-        keep, F.col("_key").eqNullSafe(F.col("_id")) & (F.octet_length(t) == F.col("_len")))
+        keep, F.col("_key").eqNullSafe(F.col("_id")) & (F.octet_length(t) == F.col("_len"))
+        & (prefix_hash(text_col) == F.col("_pre")))
     hit = hit.filter(F.col("_hash").isNull() | (F.sha2(t, 256) == F.col("_hash")))
     if keep.filter("_n > 1").isEmpty():
         return hit.select(*cols)
-    return (hit.withColumn("_text", F.xxhash64(t)).dropDuplicates(["_key", "_len", "_hash", "_text"])
-            .select(*cols))
+    return hit.dropDuplicates(["_key", "_len", "_pre", "_hash"]).select(*cols)

@@ -15,7 +15,7 @@ U = np.uint64
 MASK = (1 << 64) - 1
 #: Base of the rolling polynomial (any odd number has an inverse modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Space and the controls 9 to 13 separate words.
 SPACE = np.zeros(256, bool)

@@ -95,10 +95,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the digest of rows whose whole text the operator had no need to read
     t = F.coalesce("text", F.lit(""))
     digests = docs.select(F.col("doc_id").alias("_id"), F.octet_length(t).alias("_len"),
-                          F.sha2(t, 256).alias("text_sha256")).distinct()
+                          exact.prefix_hash("text").alias("_pre"), F.sha2(t, 256).alias("text_sha256")).distinct()
     several = verdict.filter("full_hash IS NOT NULL").withColumn("text_sha256", F.col("full_hash"))
     alone = verdict.filter("full_hash IS NULL").join(
-        digests, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_len") == F.col("_len")))
+        digests, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_len") == F.col("_len"))
+        & (F.col("prefix_hash") == F.col("_pre")))
     out = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     return several.select(*out).unionByName(alone.select(*out))
 
