@@ -174,6 +174,30 @@ DEFAULT_EXTRACTORS: tuple[Extractor, ...] = (
 )
 
 
+def reads(back: int = 0, ahead: int = 0):
+    """Declare how many rows before and after the current one an extractor reads."""
+    def mark(extractor: Extractor) -> Extractor:
+        extractor.reads = (back, ahead)
+        return extractor
+    return mark
+
+
+def depth(extractors: Sequence[Extractor], cfg: FeatureConfig, o: Ordering) -> tuple[int, int]:
+    """Rows of halo the extractors need. Extractors run one after the other on the
+    same frame, so depths of declared ones add up."""
+    back, ahead = cfg.lookback(), cfg.lookahead()
+    for ex in extractors:
+        if ex in DEFAULT_EXTRACTORS:
+            continue
+        if not hasattr(ex, "reads"):
+            if o.chunk_rows is None:
+                continue
+            raise ValueError(f"extractor {getattr(ex, '__name__', ex)!r} does not say how many rows it reads; "
+                             "declare it with reads(back, ahead)")
+        back, ahead = back + ex.reads[0], ahead + ex.reads[1]
+    return back, ahead
+
+
 def null_out_non_finite(df: DataFrame) -> DataFrame:
     """PRJ17: NaN and +-inf become NULL in every floating column."""
     cols = {f.name: fr.null_out_non_finite(f.name) for f in df.schema.fields
@@ -184,12 +208,17 @@ def null_out_non_finite(df: DataFrame) -> DataFrame:
 def feature_pipeline(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),
                      ordering: Ordering = Ordering(),
                      extractors: Sequence[Extractor] = DEFAULT_EXTRACTORS) -> DataFrame:
-    """WIN27: run the extractors in order (VWAP needs depth first), then PRJ17."""
+    """WIN27: run the extractors in order (VWAP needs depth first), then PRJ17.
+
+    Extractors of this module are served by the configuration's depths; any other
+    has to be declared with ``reads(back, ahead)``, the rows before and after the
+    current one that it reads.
+    """
     def build(frame: DataFrame, w: WindowSpec) -> DataFrame:
         for ex in extractors:
             frame = ex(frame, w, cfg)
         return frame
-    out = apply_ordered(df, ordering, build, cfg.lookback(), cfg.lookahead())
+    out = apply_ordered(df, ordering, build, *depth(extractors, cfg, ordering))
     return null_out_non_finite(out)
 
 
@@ -197,7 +226,7 @@ def extract_one(df: DataFrame, extractor: Extractor, cfg: FeatureConfig = Featur
                 ordering: Ordering = Ordering()) -> DataFrame:
     """Run a single extractor (its own window layout)."""
     return apply_ordered(df, ordering, lambda f, w: extractor(f, w, cfg),
-                         cfg.lookback(), cfg.lookahead())
+                         *depth([extractor], cfg, ordering))
 
 
 NON_FEATURES = ("symbol", "ts", "seq", "timestamp", "label", "pos", "split", "fold")

@@ -57,8 +57,23 @@ def class_weights(df: DataFrame, label: str = "label", *keys: str) -> DataFrame:
          / (F.count(F.lit(1)).over(wk).cast("double") * F.col("n_c").cast("double"))).alias("weight"))
 
 
+MAP_CLASSES = 1000
+
+
 def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight",
                       *keys: str) -> DataFrame:
-    """Attach the balanced weight of each row's class (small join, AQE-broadcast)."""
+    """Attach the balanced weight of each row's class (NULL without a label).
+
+    The few weights are looked up in a literal map, so rows are not shuffled by
+    their handful of labels; more classes than ``MAP_CLASSES`` are joined.
+    """
     w = class_weights(df, label, *keys).select(*keys, label, F.col("weight").alias(out))
+    if not keys:
+        got = w.limit(MAP_CLASSES + 1).collect()
+        if len(got) <= MAP_CLASSES:
+            if not got:
+                return df.withColumn(out, F.lit(None).cast("double"))
+            kind = df.schema[label].dataType
+            pairs = [x for r in got for x in (F.lit(r[0]).cast(kind), F.lit(r[1]))]
+            return df.withColumn(out, F.try_element_at(F.create_map(*pairs), F.col(label)))
     return df.join(w, [*keys, label], "left")

@@ -17,7 +17,12 @@ Modes:
   ``execution_delay`` by lagging the signal.
 
 A NULL signal holds the previous position (the reference would buy up to the
-position limit, a defect).
+position limit, a defect). A NULL price gives NULL costs and pnl on its row and a
+NULL pnl on the next; running sums skip them.
+
+Sizes may vary from row to row as long as every change of the clamped target is
+either nothing or at least ``min_trade_size``. A smaller change would be held
+back, which makes the position a true recurrence; such input raises an error.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ LEDGER_COLUMNS = ("position", "trade_size", "transaction_cost", "slippage_cost",
 
 
 def clamp_position(target: Column, max_position: float) -> Column:
-    """LED1: the position after a trade stays within [-M, M]."""
-    return F.greatest(F.lit(-float(max_position)), F.least(F.lit(float(max_position)), target))
+    """LED1: the position after a trade stays within [-M, M]. A NULL target stays NULL
+    (``greatest`` and ``least`` alone would skip it and give the limit)."""
+    m = float(max_position)
+    return F.when(target.isNotNull(), F.greatest(F.lit(-m), F.least(F.lit(m), target)))
 
 
 def trade_cost(trade_size: Column, price: Column, cfg: ExecutionConfig = ExecutionConfig()):
@@ -87,7 +94,8 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
 
     def step_px(f: DataFrame, w):
         return f.withColumns({"_dpx": F.col(price) - F.lag(price).over(w),
-                              "_first": F.lag(price).over(w).isNull()})
+                              # by row order: a NULL price is not a first row
+                              "_first": F.lag(F.lit(1)).over(w).isNull()})
 
     dense = fold is None   # positions are per key; per-fold halos need their own
     if o_pos == o_px:
@@ -97,6 +105,12 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
         x = apply_ordered(x, o_pos, step, lookback=1, dense_pos=dense)
         x = apply_ordered(x, o_px, step_px, lookback=1, dense_pos=dense)
     trade = F.col("_c") - F.col("_prev")
+    # the closed form needs every change of target to be none or a whole trade; a
+    # smaller one would be held back and change all later rows
+    small = (F.abs(trade) > F.lit(1e-9)) & (F.abs(trade) < F.lit(m))
+    trade = F.when(small, F.raise_error(F.lit(
+        "the target position changes by less than min_trade_size: sizes that vary this "
+        "little between rows need min_trade_size=0")).cast("double")).otherwise(trade)
     executed = (F.abs(trade) >= F.lit(m)) if m > 0 else F.lit(True)
     x = x.withColumns({"_trade": trade, "executed": executed})
     tc, sc, tot = trade_cost(F.col("_trade"), F.col(price), cfg)

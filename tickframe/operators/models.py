@@ -21,6 +21,15 @@ from pyspark.sql import functions as F
 from ..config import ModelConfig
 from ..session import scratch_table as materialize
 
+#: EXT3: own estimators by name, ``make(cfg, n_classes, label, weight) -> estimator``
+#: with a probability or raw prediction column.
+_ESTIMATORS: dict = {}
+
+
+def register_estimator(name: str, make) -> None:
+    _ESTIMATORS[name] = make
+
+
 # Model names the reference's factory accepts.
 MODEL_TYPES = ("logistic_regression", "random_forest", "lightgbm", "lstm", "transformer")
 
@@ -55,7 +64,7 @@ def build_pipeline(features: Sequence[str], cfg: ModelConfig = ModelConfig(), n_
         gbt = GBTClassifier(maxIter=p.get("n_estimators", 100), maxDepth=p.get("max_depth", 6),
                             stepSize=p.get("learning_rate", 0.1), subsamplingRate=0.8,
                             featureSubsetStrategy="0.8", seed=cfg.seed)
-        clf = OneVsRest(classifier=gbt, labelCol=label)
+        clf = OneVsRest(classifier=gbt, labelCol=label, parallelism=n_classes)
         if weight:
             clf.setWeightCol(weight)
     elif t in ("lstm", "transformer"):
@@ -64,8 +73,10 @@ def build_pipeline(features: Sequence[str], cfg: ModelConfig = ModelConfig(), n_
         clf = MultilayerPerceptronClassifier(layers=[n_in, p.get("hidden", 64), n_classes],
                                              maxIter=p.get("max_iter", 100), seed=cfg.seed,
                                              labelCol=label)
+    elif t in _ESTIMATORS:
+        clf = _ESTIMATORS[t](cfg, n_classes, label, weight)
     else:
-        raise ValueError(f"Unknown model type: {t}. Available: {list(MODEL_TYPES)}")
+        raise ValueError(f"no estimator is called {t!r}; known: {[*MODEL_TYPES, *sorted(_ESTIMATORS)]}")
     return Pipeline(stages=[*stages, clf])
 
 

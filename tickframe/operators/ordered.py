@@ -21,6 +21,7 @@ per-chunk offsets from a small table of chunk totals.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -37,6 +38,14 @@ def keyed_window(o: Ordering, *extra: str) -> WindowSpec:
     return Window.partitionBy(*o.keys, *extra).orderBy(*o.order)
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null equal to null: rows with a null key or time are
+    rows like any other and must not vanish."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, reduce(lambda a, b: a & b, on), how).drop(*[f"_r_{k}" for k in keys])
+
+
 def with_positions(df: DataFrame, o: Ordering) -> DataFrame:
     """Add ``pos``: the 0-based row position of each row within its key.
 
@@ -62,7 +71,7 @@ def with_positions(df: DataFrame, o: Ordering) -> DataFrame:
     offsets = counts.select(*o.keys, _BUCKET,
                             F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
     local = F.row_number().over(keyed_window(o, _BUCKET)) - F.lit(1)
-    return (bucketed.join(offsets, [*o.keys, _BUCKET], "inner")
+    return (join_keys(bucketed, offsets, [*o.keys, _BUCKET])
             .withColumn(POS, F.col("_off") + local)
             .drop(_BUCKET, "_off"))
 
@@ -103,7 +112,8 @@ def apply_ordered(df: DataFrame, o: Ordering, build: Callable[[DataFrame, Window
 
 _SCAN = {
     # name: (window aggregate, how the exclusive prefix and the local value combine)
-    "sum": (F.sum, lambda pre, loc: F.coalesce(pre, F.lit(0)) + loc),
+    # null only while every value so far is null, like the keyed running sum
+    "sum": (F.sum, lambda pre, loc: F.coalesce(pre + loc, pre, loc)),
     "max": (F.max, lambda pre, loc: F.greatest(pre, loc)),
     "last": (lambda c: F.last(c, ignorenulls=True), lambda pre, loc: F.coalesce(loc, pre)),
 }
@@ -138,7 +148,7 @@ def prefix_scan(df: DataFrame, o: Ordering, value: Column | str, op: str, out: s
     totals = p.groupBy(*keys, _CH).agg(tot.alias("_tot"))
     w_pre = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, _CH, agg(F.col("_tot")).over(w_pre).alias("_pre"))
-    res = p.join(offsets, [*keys, _CH], "left")
+    res = join_keys(p, offsets, [*keys, _CH], "left")
     res = (res.withColumn(out, combine(F.col("_pre"), F.col("_local")))
            .drop("_v", "_local", "_pre", _CH))
     return res if had_pos else res.drop(POS)

@@ -8,9 +8,13 @@ buffer, which a key holding a third of the data cannot afford. Here:
    band that must contain the order statistics at ranks floor((n-1)q) and the
    next one;
 2. one aggregate counts the rows below the band;
-3. only the rows inside the band (about 6n/A of them, widened by the next
-   distinct value on each side against the sketch's rank convention) are
-   ranked exactly.
+3. the rows inside the band (widened by the next distinct value on each side
+   against the sketch's rank convention) are counted per distinct value, with
+   map-side combine, and a running count over the distinct values gives ranks.
+   A value that fills most of a key is one row there.
+
+The bounds are one row per key and quantile. Up to ``BROADCAST_BOUNDS`` of them
+are broadcast, so that fact rows are filtered where they are read; more are joined.
 
 The two order statistics are interpolated as ``lo + (hi - lo) * frac``.
 Small groups (n below A) are held exactly by the sketch, so the band is exact.
@@ -23,7 +27,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_table
+from .ordered import join_keys
+
 DEFAULT_ACCURACY = 100_000
+BROADCAST_BOUNDS = 10_000
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[str, float],
@@ -49,31 +57,46 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Mapping[
         "_klo": F.floor(idx),
         "_frac": idx - F.floor(idx),
     }).withColumn("_khi", F.least(F.col("_klo") + F.lit(1), F.col("_n") - F.lit(1)))
-    # one row per key and quantile: small, broadcast by AQE after measuring it
-    joined = src.join(per_q.select(*keys, "_q", "_lo", "_hi"), keys)
+    per_q = scratch_table(per_q, "quantile-bounds")
+    small = per_q.count() <= BROADCAST_BOUNDS
+
+    def beside(bounds: DataFrame) -> DataFrame:
+        return join_keys(src, F.broadcast(bounds) if small else bounds, keys)
+
     # rows below the band, and the next value above it (the upper interpolation
     # partner when the sketch is exact and the band is a single value)
-    edges = joined.groupBy(*keys, "_q").agg(
+    edges = beside(per_q).groupBy(*keys, "_q", "_n", "_lo", "_hi", "_klo", "_khi", "_frac").agg(
         F.count_if(F.col("_v") < F.col("_lo")).alias("_below"),
         F.max(F.when(F.col("_v") < F.col("_lo"), F.col("_v"))).alias("_lo2"),
         F.min(F.when(F.col("_v") > F.col("_hi"), F.col("_v"))).alias("_hi2"))
-    bounds = per_q.join(edges, [*keys, "_q"]).withColumns({
-        "_bot": F.coalesce(F.col("_lo2"), F.col("_lo")),
-        "_top": F.coalesce(F.col("_hi2"), F.col("_hi"))})
-    band = src.join(bounds.select(*keys, "_q", "_lo", "_bot", "_top"), keys).filter(
-        (F.col("_v") >= F.col("_bot")) & (F.col("_v") <= F.col("_top")))
-    w = Window.partitionBy(*keys, "_q").orderBy("_v")
+    bounds = scratch_table(edges.select(
+        *keys, "_q", "_lo", "_below", "_klo", "_khi", "_frac",
+        F.coalesce(F.col("_lo2"), F.col("_lo")).alias("_bot"),
+        F.coalesce(F.col("_hi2"), F.col("_hi")).alias("_top")), "quantile-bounds")
+    return _pick(beside(bounds), keys, names)
+
+
+def band_values(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, quantile and distinct value of the band, with its rows ``_m``."""
+    band = joined.filter((F.col("_v") >= F.col("_bot")) & (F.col("_v") <= F.col("_top")))
+    return band.groupBy(*keys, "_q", "_lo", "_below", "_klo", "_khi", "_frac", "_v").agg(
+        F.count(F.lit(1)).alias("_m"))
+
+
+def _pick(joined: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Rank the band's distinct values and interpolate."""
+    whole = Window.partitionBy(*keys, "_q")
+    before = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     # band rows below ``_lo`` (all equal to ``_lo2``) are already in ``_below``
-    in_band_below = F.count(F.when(F.col("_v") < F.col("_lo"), 1)).over(
-        Window.partitionBy(*keys, "_q"))
-    ranked = (band.withColumns({"_r": F.row_number().over(w) - F.lit(1), "_bb": in_band_below})
-              .join(bounds.select(*keys, "_q", "_below", "_klo", "_khi", "_frac"), [*keys, "_q"])
-              .withColumn("_rank", F.col("_below") - F.col("_bb") + F.col("_r")))
-    picked = ranked.filter((F.col("_rank") == F.col("_klo")) | (F.col("_rank") == F.col("_khi"))) \
-        .groupBy(*keys, "_q").agg(
-            F.max(F.when(F.col("_rank") == F.col("_klo"), F.col("_v"))).alias("_xlo"),
-            F.max(F.when(F.col("_rank") == F.col("_khi"), F.col("_v"))).alias("_xhi"),
-            F.first("_frac").alias("_frac"))
+    ranked = band_values(joined, keys).withColumn(
+        "_first", F.col("_below") - F.coalesce(F.sum(F.when(F.col("_v") < F.col("_lo"), F.col("_m"))).over(whole),
+                                               F.lit(0)) + F.coalesce(F.sum("_m").over(before), F.lit(0)))
+
+    def at(k: str):
+        return F.max(F.when((F.col(k) >= F.col("_first")) & (F.col(k) < F.col("_first") + F.col("_m")), F.col("_v")))
+
+    picked = ranked.groupBy(*keys, "_q").agg(at("_klo").alias("_xlo"), at("_khi").alias("_xhi"),
+                                             F.first("_frac").alias("_frac"))
     val = F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * F.col("_frac")
     picked = picked.withColumn("_val", val)
     return picked.groupBy(*keys).agg(*[

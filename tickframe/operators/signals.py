@@ -17,14 +17,21 @@ DEFAULT_WIN_PROB = 0.55
 DEFAULT_ODDS = 1.0
 
 
+def known(c: Column) -> Column:
+    """A probability, NULL where it is NaN (Spark orders NaN above every number)."""
+    return F.when(~F.isnan(c.cast("double")), c)
+
+
 def signal_ternary(up: Column, down: Column, long_t: float, short_t: float) -> Column:
-    """SIG1: short wins when both rules fire; NULL when a probability is NULL and no rule fired."""
+    """SIG1: short wins when both rules fire; NULL when a probability is NULL or NaN and no rule fired."""
+    up, down = known(up), known(down)
     return (F.when(down > F.lit(short_t), F.lit(-1)).when(up > F.lit(long_t), F.lit(1))
             .when((up <= F.lit(long_t)) & (down <= F.lit(short_t)), F.lit(0)))
 
 
 def signal_binary(up: Column, long_t: float, short_t: float) -> Column:
-    """SIG2: +1 above long, -1 below short (short wins), 0 within."""
+    """SIG2: +1 above long, -1 below short (short wins), 0 within, NULL for NULL or NaN."""
+    up = known(up)
     return (F.when(up < F.lit(short_t), F.lit(-1)).when(up > F.lit(long_t), F.lit(1))
             .when((up >= F.lit(short_t)) & (up <= F.lit(long_t)), F.lit(0)))
 

@@ -13,16 +13,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Ordering
-from .ordered import POS, apply_ordered, with_positions
+from .ordered import POS, apply_ordered, join_keys, with_positions
 
 
 def filter_by_time(df: DataFrame, start: str | None = None, end: str | None = None,
                    ts: str = "ts") -> DataFrame:
     """FLT1: inclusive at both ends, each optional; reaches the parquet scan."""
     if start:
-        df = df.filter(F.col(ts) >= F.to_timestamp(F.lit(start)))
+        df = df.filter(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
     if end:
-        df = df.filter(F.col(ts) <= F.to_timestamp(F.lit(end)))
+        df = df.filter(F.col(ts) <= F.lit(end).cast("timestamp_ntz"))
     return df
 
 
@@ -61,9 +61,15 @@ def floor_time(c: Column, seconds: int) -> Column:
 
 
 def with_key_size(df: DataFrame, o: Ordering, out: str = "n_rows") -> DataFrame:
-    """Attach the row count of each key (group-by joined back; AQE broadcasts it)."""
+    """Attach the row count of each key (group-by joined back, null keys included)."""
     sizes = df.groupBy(*o.keys).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, list(o.keys), "inner")
+    return join_keys(df, sizes, list(o.keys))
+
+
+def sort_by_time(df: DataFrame, o: Ordering = Ordering()) -> DataFrame:
+    """SRT1: rows by time over all keys (ties by the rest of the order, then key).
+    A range-partitioned sort: no task holds more than its range."""
+    return df.orderBy(*o.order, *o.keys)
 
 
 def resample_last(df: DataFrame, freq: str = "1 second", columns: Sequence[str] | None = None,

@@ -53,7 +53,7 @@ def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: i
     run = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     c = (f"greatest({dlit(-10.0)}, least({dlit(10.0)}, CAST(signal AS DOUBLE) * "
          f"(abs(CAST(signal AS DOUBLE)) * {dlit(1.0)})))")
-    c = f"CASE WHEN abs({c}) >= {dlit(0.1)} OR {c} = 0 THEN {c} ELSE {dlit(0.0)} END"
+    c = f"CASE WHEN signal IS NULL THEN NULL WHEN abs({c}) >= {dlit(0.1)} OR {c} = 0 THEN {c} ELSE {dlit(0.0)} END"
     if mode == "mtm":
         c = f"lag({c}, {delay}) OVER ({w})"
     tc = f"abs(c - prev) * mid_price * {dlit(0.001)}"
@@ -63,7 +63,7 @@ def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: i
   s1 AS (SELECT *, COALESCE(c_raw, last_value(c_raw IGNORE NULLS) OVER {run}, {dlit(0.0)}) AS c FROM s0),
   s2 AS (SELECT *, COALESCE(lag(c) OVER ({w}), {dlit(0.0)}) AS prev,
                 mid_price - lag(mid_price) OVER ({w}) AS dpx,
-                lag(mid_price) OVER ({w}) IS NULL AS first_row FROM s1),
+                row_number() OVER ({w}) = 1 AS first_row FROM s1),
   s3 AS (SELECT *, abs(c - prev) >= {dlit(0.1)} AS executed,
                 {tc} AS tc, {sc} AS sc, ({tc}) + ({sc}) AS tot FROM s2)"""
     z = dlit(0.0)

@@ -10,7 +10,7 @@ from ..operators import evaluation as ev
 from ..operators import labels as lb
 from ..operators import metrics as mx
 from ..sources.book import load_book
-from .catalog_features import features
+from .catalog_features import MODEL_READY, features, model_feature_names
 from .defaults import ORDERING
 from .registry import register
 from .sqltext import dlit, features_sql, label_sql
@@ -116,18 +116,21 @@ register("feature_correlation", "feature_a feature_b corr:d", _corr_sql())(
     lambda spark, sf: mx.feature_correlation(features(spark, sf), CORR_FEATURES))
 
 
+DESCRIBED = ["mid_price", "spread", "imbalance", *model_feature_names()]
+
+
 def _describe_sql() -> str:
     rows = "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
         f"min({c}) AS min, max({c}) AS max, quantile_cont({c}, 0.25) AS p25, "
         f"quantile_cont({c}, 0.5) AS p50, quantile_cont({c}, 0.75) AS p75 FROM feat"
-        for c in CORR_FEATURES)
-    return f"WITH feat AS ({features_sql()})\n{rows}"
+        for c in DESCRIBED)
+    return f"WITH feat AS ({features_sql(MODEL_READY)})\n{rows}"
 
 
 register("describe_features", "feature count mean:d std:d min:d max:d p25:d p50:d p75:d",
          _describe_sql())(
-    lambda spark, sf: mx.describe_features(features(spark, sf), CORR_FEATURES))
+    lambda spark, sf: mx.describe_features(features(spark, sf, MODEL_READY), DESCRIBED))
 
 BOOK_N_COLUMNS = 3 + 20 + 2 + 3
 register("data_overview", "symbol n_rows n_columns start_ts end_ts", f"""

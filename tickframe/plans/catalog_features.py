@@ -117,11 +117,14 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     return fx.drop_incomplete(f)
 
 
+#: The condition under which a row has all model inputs.
+COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in [
+    "mid_price", "spread", "imbalance", *LEVEL_COLS,
+    *[c for c in model_feature_names() if not c.startswith("return_forward_")]])
+
+
 def _feature_table_sql() -> str:
-    names = [c for c in model_feature_names() if not c.startswith("return_forward_")]
-    base = ["mid_price", "spread", "imbalance"] + LEVEL_COLS
-    cond = " AND ".join(f"{c} IS NOT NULL" for c in base + names)
-    return f"WITH feat AS ({features_sql(MODEL_READY)}) SELECT * FROM feat WHERE {cond}"
+    return f"WITH feat AS ({features_sql(MODEL_READY)}) SELECT * FROM feat WHERE {COMPLETE}"
 
 
 register("feature_table", "symbol ts seq " + _d(model_feature_names()), _feature_table_sql())(
@@ -134,7 +137,7 @@ register("time_filter", "symbol ts seq mid_price:d",
          f"SELECT * FROM book WHERE ts >= TIMESTAMP '{T0}' AND ts <= TIMESTAMP '{T1}'")(
     lambda spark, sf: tsx.filter_by_time(load_book(spark, sf), T0, T1))
 
-RS_COLS = ["mid_price", "spread", "imbalance", "bid_size_5"]
+RS_COLS = ["mid_price", "spread", "imbalance", *LEVEL_COLS, "prob_up", "prob_down"]
 register("resample_last", "symbol ts " + _d(RS_COLS), f"""
 WITH agg AS (
   SELECT symbol, date_trunc('hour', ts) AS b,
@@ -186,7 +189,7 @@ SELECT symbol, seq,
 FROM (SELECT symbol, seq, {_POS} FROM book) p""")(
     lambda spark, sf: tsx.time_split_ratio(load_book(spark, sf), 0.8, ORDERING))
 
-WF_TRAIN, WF_TEST = 500, 100
+WF_TRAIN, WF_TEST = 1000, 200
 _FOLDS = f"""SELECT *, (pos - {WF_TRAIN}) // {WF_TEST} AS fold FROM (
   SELECT *, {_POS} FROM book) p
   WHERE pos >= {WF_TRAIN} AND ((pos - {WF_TRAIN}) // {WF_TEST}) * {WF_TEST} < n - {WF_TRAIN + WF_TEST}"""

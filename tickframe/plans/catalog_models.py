@@ -1,4 +1,4 @@
-"""Catalogue part 4: models and file round trips (rows-only checks)."""
+"""Catalogue part 4: models (rows-only checks) and file round trips."""
 
 from __future__ import annotations
 
@@ -13,10 +13,13 @@ from ..operators import models as md
 from ..operators import timeseries as tsx
 from ..sources import readers as rd
 from ..sources import sinks as sk
-from ..sources.book import load_book
-from .catalog_features import MODEL_READY, features
+from ..sources.book import N_LEVELS, load_book
+from .catalog_backtest import LEDGER_COLS, SIGNALS_SRC, ledger, ledger_sql
+from .catalog_eval import PRED_SQL, predictions
+from .catalog_features import COMPLETE, MODEL_READY, features
 from .defaults import ORDERING
 from .registry import register
+from .sqltext import W, dlit, features_sql, label_sql
 
 PRED_SPEC = "symbol seq label prediction prob_down:d prob_flat:d prob_up:d"
 
@@ -39,17 +42,78 @@ for _name, _type in (("fit_logistic", "logistic_regression"), ("fit_forest", "ra
                      ("fit_boosted", "lightgbm")):
     register(_name, PRED_SPEC)(lambda spark, sf, _t=_type: fit_and_score(spark, sf, _t))
 
-SEQ_FEATURES = ["mid_price", "spread", "imbalance", "weighted_imbalance"]
+_TRAINING_SQL = f"""WITH feat AS ({features_sql(MODEL_READY)}),
+f AS (SELECT * FROM feat WHERE {COMPLETE}),
+l AS (SELECT *, {label_sql()} AS label FROM f),
+p AS (SELECT *, row_number() OVER ({W}) - 1 AS pos_, count(*) OVER (PARTITION BY symbol) AS n_
+      FROM l WHERE label IS NOT NULL),
+s AS (SELECT *, CASE WHEN pos_ < floor(CAST(n_ AS DOUBLE) * {dlit(0.8)}) THEN 'train' ELSE 'test' END AS split FROM p)"""
+
+# the frame that every fit trains on and scores: rows, split, label, class weight
+register("ml_training_rows", "symbol seq split label:d weight:d", _TRAINING_SQL + """,
+w AS (SELECT label, CAST(sum(count(*)) OVER () AS DOUBLE) / (CAST(count(*) OVER () AS DOUBLE) * count(*)) AS weight
+      FROM s WHERE split = 'train' GROUP BY label)
+SELECT s.symbol, s.seq, s.split, s.label, w.weight FROM s LEFT JOIN w ON s.split = 'train' AND s.label = w.label""")(
+    lambda spark, sf: _training_rows(spark, sf))
+
+
+def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    data, _ = training_frame(spark, sf)
+    train = lb.with_class_weight(data.filter(F.col("split") == "train"))
+    return train.unionByName(data.filter(F.col("split") == "test").withColumn("weight", F.lit(None).cast("double")))
+
+
+Z_COLS = ["spread", "imbalance", "microprice_deviation"]
+
+
+def _standardised(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ19: the fitted standardiser of the training pipeline applied to the test rows."""
+    from pyspark.ml.functions import vector_to_array
+    data, _ = training_frame(spark, sf)
+    pipe = md.build_pipeline(Z_COLS, ModelConfig())
+    data = md.materialize(data.select("symbol", "seq", "split", *Z_COLS), "standardise")
+    out = data
+    from pyspark.ml import Pipeline
+    model = Pipeline(stages=pipe.getStages()[:2]).fit(data.filter(F.col("split") == "train"))
+    out = model.transform(data.filter(F.col("split") == "test")).withColumn("z", vector_to_array("features"))
+    return out.select("symbol", "seq", *[F.col("z")[i].alias(f"z_{c}") for i, c in enumerate(Z_COLS)])
+
+
+register("ml_standardise", "symbol seq " + " ".join(f"z_{c}:d" for c in Z_COLS), _TRAINING_SQL + ",\nm AS (SELECT "
+         + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in Z_COLS) + " FROM s WHERE split = 'train')\n"
+         + "SELECT symbol, seq, " + ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in Z_COLS)
+         + " FROM s, m WHERE split = 'test'")(_standardised)
+
+
+def _fitted_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """ML2, ML8, ML9: fitted, saved, loaded, scored on the test rows; what must hold
+    of every row: probabilities within 0 and 1 that sum to 1, and the likeliest class
+    predicted."""
+    data, cols = training_frame(spark, sf)
+    path = sk.scratch_path(spark, "model")
+    md.save_model(md.fit(data.filter(F.col("split") == "train"), cols, ModelConfig("logistic_regression")), path)
+    out = md.predict(md.load_model(path), data.filter(F.col("split") == "test"))
+    best = F.greatest("prob_down", "prob_flat", "prob_up")
+    of_class = F.element_at(F.array("prob_down", "prob_flat", "prob_up"), F.col("prediction") + 1)
+    return out.withColumns({"prob_sum": F.col("prob_down") + F.col("prob_flat") + F.col("prob_up"),
+                            "likeliest": (of_class == best) & F.least("prob_down", "prob_flat", "prob_up").between(0, 1)})
+
+
+register("fit_logistic_rows", "symbol seq label:d prob_sum:d likeliest", _TRAINING_SQL + f"""
+SELECT symbol, seq, label, {dlit(1.0)} AS prob_sum, true AS likeliest FROM s WHERE split = 'test'""")(_fitted_rows)
+
 SEQ_LEN = 20
 
 
 def fit_sequence(spark: SparkSession, sf: str) -> DataFrame:
-    """ML5: class of row i from the previous L rows, flattened into one vector."""
-    f = lb.add_labels(features(spark, sf), LabelConfig(), ORDERING)
-    s = lb.drop_unlabelled(tsx.sequence_samples(f, SEQ_FEATURES, SEQ_LEN, o=ORDERING))
-    s = md.flatten_window(s, "window", SEQ_FEATURES, "seq_x").drop("window")
+    """ML5: class of row i from all features of the previous L rows, as one vector."""
+    f = fx.drop_incomplete(features(spark, sf, MODEL_READY))
+    cols = fx.feature_columns(f)
+    f = lb.add_labels(f, LabelConfig(), ORDERING)
+    s = lb.drop_unlabelled(tsx.sequence_samples(f, cols, SEQ_LEN, o=ORDERING))
+    s = md.flatten_window(s, "window", cols, "seq_x").drop("window")
     s = tsx.time_split_ratio(s.drop("pos"), 0.8, ORDERING)
-    cfg = ModelConfig("lstm", {"n_inputs": SEQ_LEN * len(SEQ_FEATURES)})
+    cfg = ModelConfig("lstm", {"n_inputs": SEQ_LEN * len(cols)})
     model = md.fit(s.filter(F.col("split") == "train"), ["seq_x"], cfg)
     return md.predict(model, s.filter(F.col("split") == "test"))
 
@@ -61,7 +125,7 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
     """TOP1 over ML6: the 20 most important forest features."""
     data, cols = training_frame(spark, sf)
     model = md.fit(data.filter(F.col("split") == "train"), cols,
-                   ModelConfig("random_forest", {"n_estimators": 50}))
+                   ModelConfig("random_forest"))
     imp = spark.createDataFrame(md.feature_importance(model, cols), "feature STRING, importance DOUBLE")
     return mx.top_features(imp, 20)
 
@@ -79,12 +143,12 @@ def read_list_book_q(spark: SparkSession, sf: str) -> DataFrame:
                       "mid_price", "spread", "imbalance")
 
 
-def read_wide_book_q(spark: SparkSession, sf: str) -> DataFrame:
+def read_wide_book_q(spark: SparkSession, sf: str, read=None) -> DataFrame:
     """SRC2 round trip: wide CSV with header, null levels compacted per list."""
     path = sk.scratch_path(spark, "wide-book")
     sk.write_wide_csv(load_book(spark, sf), path)
-    snap = rd.read_wide_book(spark, path, levels=5)
-    out = rd.widen_levels(rd.book_basics_from_arrays(snap), 5)
+    snap = read(spark, path) if read else rd.read_wide_book(spark, path, levels=N_LEVELS)
+    out = rd.widen_levels(rd.book_basics_from_arrays(snap), N_LEVELS)
     return out.select("symbol", "ts", F.size("bid_sizes").cast("bigint").alias("n_levels"),
                       "mid_price", "spread", "imbalance")
 
@@ -108,6 +172,52 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return res
 
 
-register("read_list_book", "symbol ts n_levels mid_price:d spread:d imbalance:d")(read_list_book_q)
-register("read_wide_book", "symbol ts n_levels mid_price:d spread:d imbalance:d")(read_wide_book_q)
-register("table_round_trip", "symbol format n sum_mid:d")(table_round_trip)
+_SNAP = """SELECT symbol, ts, CAST({n} AS BIGINT) AS n_levels, mid_price, spread, imbalance FROM book"""
+_PRESENT = " + ".join(f"(CASE WHEN bid_size_{i} IS NULL THEN 0 ELSE 1 END)" for i in range(1, N_LEVELS + 1))
+register("read_list_book", "symbol ts n_levels mid_price:d spread:d imbalance:d", _SNAP.format(n=N_LEVELS))(
+    read_list_book_q)
+register("read_wide_book", "symbol ts n_levels mid_price:d spread:d imbalance:d", _SNAP.format(n=_PRESENT))(
+    read_wide_book_q)
+register("load_book_source", "symbol ts n_levels mid_price:d spread:d imbalance:d", _SNAP.format(n=_PRESENT))(
+    lambda spark, sf: read_wide_book_q(spark, sf, lambda s, p: rd.load_book_source(s, "kaggle_crypto", p, levels=N_LEVELS)))
+register("table_round_trip", "symbol format n sum_mid:d", """
+SELECT symbol, f.format, count(*) AS n, sum(mid_price) AS sum_mid
+FROM book, (VALUES ('parquet'), ('csv'), ('json')) f(format) GROUP BY 1, 2""")(table_round_trip)
+
+
+def predictions_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK2/SRC5: predictions to parquet and back, every row."""
+    path = sk.scratch_path(spark, "predictions") + ".parquet"
+    sk.save_predictions(predictions(spark, sf), path)
+    return rd.load_predictions(spark, path)
+
+
+register("predictions_round_trip", "symbol seq label:d prediction:d prob_up:d prob_down:d prob_flat:d", PRED_SQL)(
+    predictions_round_trip)
+
+
+def evaluation_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK4: predictions and an evaluation table written, the table read back."""
+    path = sk.scratch_path(spark, "evaluation")
+    p = predictions(spark, sf)
+    sk.save_evaluation(p, {"distribution": p.groupBy("symbol", "prediction").agg(F.count(F.lit(1)).alias("n"))}, path)
+    n_rows = rd.load_table(spark, f"{path}/predictions", "parquet").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return rd.load_table(spark, f"{path}/distribution", "json").join(n_rows, "symbol")
+
+
+register("evaluation_round_trip", "symbol prediction:d n n_rows", f"""
+SELECT symbol, prediction, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY symbol) AS BIGINT) AS n_rows
+FROM ({PRED_SQL}) p GROUP BY symbol, prediction""")(evaluation_round_trip)
+
+
+def backtest_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK3: ledger, metric rows and report written, the ledger read back."""
+    path = sk.scratch_path(spark, "backtest")
+    led = ledger(spark, sf)
+    sk.save_backtest(led, led.groupBy("symbol").agg(F.sum("pnl").alias("pnl")),
+                     led.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")), path)
+    return rd.load_table(spark, f"{path}/ledger", "parquet")
+
+
+register("backtest_round_trip", "symbol seq " + LEDGER_COLS, ledger_sql(SIGNALS_SRC))(backtest_round_trip)

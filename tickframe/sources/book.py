@@ -12,6 +12,8 @@ oracle; both give identical rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,8 +68,16 @@ def book_from_events(events: DataFrame) -> DataFrame:
     return e.select(*cols)
 
 
-def with_book_basics(book: DataFrame, levels: int = N_LEVELS) -> DataFrame:
-    """PRJ1-3: mid price, spread and size imbalance over all present levels."""
+def level_count(book: DataFrame) -> int:
+    """The deepest level that a column of the book names."""
+    found = [int(m[1]) for c in book.columns if (m := re.fullmatch(r"(?:bid|ask)_(?:price|size)_(\d+)", c))]
+    return max(found, default=0)
+
+
+def with_book_basics(book: DataFrame, levels: int | None = None) -> DataFrame:
+    """PRJ1-3: mid price, spread and size imbalance over all levels that the columns
+    hold (the first ``levels`` if told so)."""
+    levels = level_count(book) if levels is None else levels
     bids = [f"bid_size_{i}" for i in range(1, levels + 1) if f"bid_size_{i}" in book.columns]
     asks = [f"ask_size_{i}" for i in range(1, levels + 1) if f"ask_size_{i}" in book.columns]
     b, a = fold_sum(bids), fold_sum(asks)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .book import level_count
+
 LIST_SCHEMA = "t LONG, bid_p STRING, bid_s STRING, ask_p STRING, ask_s STRING"
 ARRAYS = ("bid_prices", "bid_sizes", "ask_prices", "ask_sizes")
 
@@ -21,11 +23,27 @@ def _check_exists(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"Data file not found: {path}")
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns means missing: NULL from here on."""
+    cols = {f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in df.schema.fields
+            if f.dataType.simpleString() in ("double", "float")}
+    return df.withColumns(cols) if cols else df
+
+
+def file_order() -> Column:
+    """A struct that orders rows as the files hold them: file name, then the start of
+    the split, then the row's place in its partition (partitions are read split by
+    split, so ids grow along each)."""
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def _num_list(c: Column) -> Column:
-    """'1.0,2.5,,3' -> [1.0, 2.5, 3.0]: empty items dropped, bad numbers NULL."""
+    """'1.0,2.5,,3' -> [1.0, 2.5, 3.0]: empty items dropped, bad numbers and NaN NULL."""
     return F.transform(F.filter(F.split(F.regexp_replace(c, r"[\[\]\s]", ""), ","),
                                 lambda x: x != ""),
-                       lambda x: x.try_cast("double"))
+                       lambda x: F.when(F.lower(x) != "nan", x.try_cast("double")))
 
 
 def read_list_book(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
@@ -39,7 +57,7 @@ def read_list_book(spark: SparkSession, path: str, symbol: str | None = None) ->
     out = raw.select(
         *extra,
         F.timestamp_micros(F.expr("t div 1000")).cast("timestamp_ntz").alias("ts"),
-        F.monotonically_increasing_id().alias("seq"),
+        file_order().alias("seq"),
         _num_list(F.col("bid_p")).alias("bid_prices"), _num_list(F.col("bid_s")).alias("bid_sizes"),
         _num_list(F.col("ask_p")).alias("ask_prices"), _num_list(F.col("ask_s")).alias("ask_sizes"))
     if symbol is not None:
@@ -64,12 +82,14 @@ def read_wide_book(spark: SparkSession, path: str, levels: int = 10, strict: boo
     """
     _check_exists(spark, path)
     raw = spark.read.option("header", "true").schema(wide_csv_schema(levels)).csv(path)
+    raw = nan_to_null(raw).withColumn("seq", file_order())
     ts = F.to_timestamp("timestamp").cast("timestamp_ntz")
-    extra = [c for c in raw.columns if c != "timestamp" and not c.split("_")[-1].isdigit()]
+    extra = [c for c in raw.columns if c not in ("timestamp", "seq") and not c.split("_")[-1].isdigit()]
+    extra.append("seq")
 
     def lst(side: str) -> Column:
         arr = F.array(*[F.col(f"{side}_{i}") for i in range(1, levels + 1)])
-        return F.filter(arr, lambda x: x.isNotNull())
+        return F.filter(arr, lambda x: x.isNotNull())   # NaN cells are NULL by now
 
     if strict:
         lv = F.array(*[F.struct(*[F.col(f"{s}_{i}").alias(s) for s in
@@ -84,15 +104,15 @@ def read_wide_book(spark: SparkSession, path: str, levels: int = 10, strict: boo
         out = raw.select(*extra, ts.alias("ts"), lst("bid_price").alias("bid_prices"),
                          lst("bid_size").alias("bid_sizes"), lst("ask_price").alias("ask_prices"),
                          lst("ask_size").alias("ask_sizes"))
-    # file order breaks ties of equal timestamps (ids grow along each split)
-    out = out.withColumn("seq", F.monotonically_increasing_id())
     if symbol is not None:
         out = out.withColumn("symbol", F.lit(symbol))
     return out
 
 
-def to_snapshot_arrays(book: DataFrame, levels: int = 5) -> DataFrame:
-    """Wide book -> snapshot rows with four arrays (nulls filtered out)."""
+def to_snapshot_arrays(book: DataFrame, levels: int | None = None) -> DataFrame:
+    """Wide book -> snapshot rows with four arrays (nulls filtered out); all levels
+    that the columns hold unless told otherwise."""
+    levels = level_count(book) if levels is None else levels
     def lst(side: str) -> Column:
         return F.filter(F.array(*[F.col(f"{side}_{i}") for i in range(1, levels + 1)]),
                         lambda x: x.isNotNull())
@@ -127,12 +147,19 @@ def widen_levels(snap: DataFrame, max_levels: int = 10) -> DataFrame:
 BOOK_SOURCES = ("lobster", "kaggle_crypto")
 
 
+_READERS = {"lobster": read_list_book, "kaggle_crypto": read_wide_book}
+
+
+def register_book_source(kind: str, reader) -> None:
+    """EXT2: add a loader, ``reader(spark, path, **options) -> snapshot rows``."""
+    _READERS[kind] = reader
+
+
 def load_book_source(spark: SparkSession, kind: str, path: str, **kw) -> DataFrame:
-    """SRC3: reader registry keyed by name (the simulator kind is not built)."""
-    readers = {"lobster": read_list_book, "kaggle_crypto": read_wide_book}
-    if kind not in readers:
-        raise ValueError(f"Unknown data source: {kind}")
-    return readers[kind](spark, path, **kw)
+    """SRC3: readers by name, own ones included (the simulator kind is not built)."""
+    if kind not in _READERS:
+        raise ValueError(f"no book loader is registered as {kind!r}; known: {sorted(_READERS)}")
+    return _READERS[kind](spark, path, **kw)
 
 
 def load_table(spark: SparkSession, path: str, fmt: str = "auto", schema: str | None = None
@@ -162,4 +189,4 @@ def load_predictions(spark: SparkSession, path: str) -> DataFrame:
     p = path.rstrip("/").lower()
     if not (p.endswith(".parquet") or p.endswith(".csv")):
         raise ValueError(f"Unsupported predictions format: {path}")
-    return load_table(spark, path)
+    return nan_to_null(load_table(spark, path))

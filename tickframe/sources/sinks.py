@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .book import level_count
 from ..session import scratch_path  # noqa: F401  callers find it next to the writers
 
 
@@ -43,8 +44,9 @@ def save_evaluation(predictions: DataFrame, tables: dict[str, DataFrame], path:
         save_table(t, os.path.join(path, name), "json")
 
 
-def write_list_csv(book: DataFrame, path: str, levels: int = 5) -> None:
+def write_list_csv(book: DataFrame, path: str, levels: int | None = None) -> None:
     """Write a wide book in the list-CSV layout (ns epoch + four joined lists)."""
+    levels = level_count(book) if levels is None else levels
     def joined(side: str):
         return F.concat_ws(",", *[F.col(f"{side}_{i}").cast("string") for i in range(1, levels + 1)])
     out = book.select(
@@ -55,8 +57,9 @@ def write_list_csv(book: DataFrame, path: str, levels: int = 5) -> None:
     out.write.mode("overwrite").partitionBy("symbol").option("header", "false").csv(path)
 
 
-def write_wide_csv(book: DataFrame, path: str, levels: int = 5) -> None:
+def write_wide_csv(book: DataFrame, path: str, levels: int | None = None) -> None:
     """Write a wide book as CSV with header (``timestamp`` as ISO text)."""
+    levels = level_count(book) if levels is None else levels
     cols = [F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp")]
     for side in ("bid_price", "bid_size", "ask_price", "ask_size"):
         cols += [F.col(f"{side}_{i}") for i in range(1, levels + 1)]
