@@ -32,7 +32,8 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", ["op5_mix_sources", "op6_web_archive", "op8_exact_dedup", "op10_chat_format"])
+@pytest.mark.parametrize("name", ["op2_substring_dedup", "op5_mix_sources", "op6_web_archive", "op8_exact_dedup",
+                                  "op9_byte_dedup", "op10_chat_format"])
 def test_query_matches_sql(spark, con, name):
     got = E.queries()[name](spark, SF)
     want = con.execute(E.oracle_sql()[name]).fetchall()

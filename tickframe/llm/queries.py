@@ -198,3 +198,34 @@ def op9_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = repeats.remove_repeated_bytes(table(spark, sf_dir, "documents"))
     return r.select("doc_id", F.col("n").alias("n_bytes"), "n_removed",
                     F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# spans of hits ``i`` (windows of ``n`` symbols) per document: hits that overlap or touch
+_SPANS = """
+isl AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (
+  SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {n} THEN 1 ELSE 0 END AS new FROM hit) h),
+span AS (SELECT doc_id, min(i) AS a, max(i) + {n} AS z FROM isl GROUP BY doc_id, g),
+gap AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span)"""
+
+ORACLE_SQL["op2_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, t.i, array_to_string(w[t.i + 1:t.i + 35], ' ') AS k FROM d, unnest(range(0, len(w) - 34)) t(i)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM win WHERE k IN (SELECT k FROM rep)), {_SPANS.format(n=35)},
+cut AS (SELECT g.doc_id, sum(z - a) AS gone, max(z) AS last, flatten(list(w[before + 1:a] ORDER BY a)) AS head
+        FROM gap g JOIN d ON g.doc_id = d.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_concat(coalesce(head, []), w[coalesce(last, 0) + 1:]), ' ')) AS kept_sha256
+FROM d LEFT JOIN cut c ON d.doc_id = c.doc_id"""
+
+ORACLE_SQL["op9_byte_dedup"] = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, t.i, substr(h, 2 * t.i + 1, 100) AS k FROM d, unnest(range(0, length(h) // 2 - 49)) t(i)),
+low AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+hit AS (SELECT doc_id, i FROM win JOIN low ON win.k = low.k AND m < doc_id), {_SPANS.format(n=50)},
+cut AS (SELECT g.doc_id, sum(z - a) AS gone, count(*) AS n, max(z) AS last,
+               string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+        FROM gap g JOIN d ON g.doc_id = d.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       coalesce(n, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut c ON d.doc_id = c.doc_id"""
