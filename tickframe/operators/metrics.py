@@ -176,7 +176,13 @@ def feature_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe_features(df: DataFrame, cols: list[str], *keys: str) -> DataFrame:
-    """AGG20: count, mean, sample std, min, exact quartiles, max per feature (long form)."""
+    """AGG20: count, mean, sample std, min, exact quartiles, max per feature (long form).
+
+    The described columns are written once: the passes over them then read columns
+    instead of computing the features again.
+    """
+    from ..session import scratch_table
+    df = scratch_table(df.select(*keys, *cols), "describe-input")
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("_f")).select(*keys, "_f.*")
