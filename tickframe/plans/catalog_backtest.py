@@ -46,9 +46,14 @@ SIG_B = (f"CASE WHEN prob_up < {dlit(0.4)} THEN -1 WHEN prob_up > {dlit(0.6)} TH
 R1 = f"((lead(mid_price, 1) OVER ({W})) / NULLIF(mid_price, 0) - {dlit(1.0)})"
 
 
-def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: int = 1) -> str:
+def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: int = 1,
+               px_part: str | None = None) -> str:
     """Oracle ledger: gaps-and-islands over executed rows (independent of the
-    prefix-difference form the Spark code uses)."""
+    prefix-difference form the Spark code uses). ``px_part``: where prices and sums
+    restart, if not where the position does."""
+    px_part = px_part or part
+    wp = f"PARTITION BY {px_part} ORDER BY ts, seq"
+    run_p = f"({wp} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     w = f"PARTITION BY {part} ORDER BY ts, seq"
     run = f"({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     c = (f"greatest({dlit(-10.0)}, least({dlit(10.0)}, CAST(signal AS DOUBLE) * "
@@ -62,8 +67,8 @@ def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: i
   s0 AS (SELECT *, {c} AS c_raw FROM ({src}) z),
   s1 AS (SELECT *, COALESCE(c_raw, last_value(c_raw IGNORE NULLS) OVER {run}, {dlit(0.0)}) AS c FROM s0),
   s2 AS (SELECT *, COALESCE(lag(c) OVER ({w}), {dlit(0.0)}) AS prev,
-                mid_price - lag(mid_price) OVER ({w}) AS dpx,
-                row_number() OVER ({w}) = 1 AS first_row FROM s1),
+                mid_price - lag(mid_price) OVER ({wp}) AS dpx,
+                row_number() OVER ({wp}) = 1 AS first_row FROM s1),
   s3 AS (SELECT *, abs(c - prev) >= {dlit(0.1)} AS executed,
                 {tc} AS tc, {sc} AS sc, ({tc}) + ({sc}) AS tot FROM s2)"""
     z = dlit(0.0)
@@ -76,9 +81,9 @@ def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: i
     CASE WHEN executed THEN sc ELSE {z} END AS slippage_cost,
     CASE WHEN executed THEN tot ELSE {z} END AS total_cost,
     CASE WHEN NOT executed THEN {z} WHEN first_row THEN {z} ELSE c * dpx - tot END AS pnl,
-    sum(CASE WHEN executed THEN 0 ELSE 1 END) OVER {run} AS island FROM s3)
+    sum(CASE WHEN executed THEN 0 ELSE 1 END) OVER {run_p} AS island FROM s3)
 SELECT * EXCLUDE (island, c_raw, c, prev, dpx, first_row, tc, sc, tot),
-  CASE WHEN executed THEN sum(pnl) OVER (PARTITION BY {part}, island ORDER BY ts, seq
+  CASE WHEN executed THEN sum(pnl) OVER (PARTITION BY {px_part}, island ORDER BY ts, seq
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) ELSE {z} END AS cumulative_pnl
 FROM s4"""
     return f"""WITH {base},
@@ -90,7 +95,7 @@ FROM s4"""
     CASE WHEN first_row THEN {z} - CASE WHEN executed THEN tot ELSE {z} END
          ELSE prev * dpx - CASE WHEN executed THEN tot ELSE {z} END END AS pnl FROM s3)
 SELECT * EXCLUDE (c_raw, c, prev, dpx, first_row, tc, sc, tot),
-  sum(pnl) OVER {run} AS cumulative_pnl FROM s4"""
+  sum(pnl) OVER {run_p} AS cumulative_pnl FROM s4"""
 
 
 SIGNALS_SRC = f"SELECT *, {SIG_T} AS signal FROM book"

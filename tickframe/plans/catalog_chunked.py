@@ -18,7 +18,7 @@ from ..sources.book import load_book
 from .catalog_backtest import EXE, LEDGER_COLS, MTM, SIGNALS_SRC, ledger_sql, signals
 from .defaults import ORDERING
 from .registry import REGISTRY, register
-from .sqltext import dlit
+from .sqltext import W, dlit
 
 SMALL = replace(ORDERING, chunk_rows=400)
 
@@ -56,5 +56,16 @@ register("ledger_varying", "symbol seq signal " + LEDGER_COLS.replace(" cumulati
     f"(abs(CAST(signal AS DOUBLE)) * {dlit(1.0)})",
     f"({dlit(1.0)} + CAST(seq % 3 AS DOUBLE) / {dlit(2.0)})"))(_varying)
 
+# the position carries from fold to fold, prices and sums restart in each; folds of 500
+# and 100 rows, so that every symbol has several
+_CARRY = replace(EXE, carry_position=True)
+_FOLDED = f"""SELECT *, (pos_ - 500) // 100 AS fold FROM (
+  SELECT *, row_number() OVER ({W}) - 1 AS pos_, count(*) OVER (PARTITION BY symbol) AS n_ FROM ({SIGNALS_SRC}) z0) p
+  WHERE pos_ >= 500 AND ((pos_ - 500) // 100) * 100 < n_ - 600"""
+register("walk_forward_carry", "symbol fold seq signal " + LEDGER_COLS,
+         ledger_sql(_FOLDED, px_part="symbol, fold"))(
+    lambda spark, sf: led.execute_trades(tsx.walk_forward(signals(spark, sf), 500, 100, ORDERING), _CARRY, SMALL,
+                                         fold="fold"))
+
 register("sort_by_time", "symbol ts seq mid_price:d", "SELECT * FROM book")(
     lambda spark, sf: tsx.sort_by_time(load_book(spark, sf), ORDERING))
