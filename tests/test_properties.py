@@ -80,3 +80,9 @@ def test_unknown_names_raise(spark):
     with pytest.raises(FileNotFoundError):
         from tickframe.sources.readers import read_list_book
         read_list_book(spark, "/nonexistent/file.csv")
+
+
+def test_ledger_is_laid_out_once(spark):
+    s = sg.generate_signals(load_book(spark, SF_SMALL), SignalConfig())
+    plan = led.execute_trades(s, ExecutionConfig(), CHUNKED)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 4 and plan.count("Exchange hashpartitioning") <= 10

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import MetricsConfig, Ordering
 from ..functions import frames as fr
-from .ordered import POS, apply_ordered, prefix_scan, with_positions
+from .ordered import apply_ordered, prefix_scan
 from .quantiles import exact_quantiles
 
 METRIC_NAMES = (
@@ -46,11 +46,11 @@ def backtest_metrics(ledger: DataFrame, cfg: MetricsConfig = MetricsConfig(),
         raise ValueError("DataFrame must contain 'cumulative_pnl' column")
     keys = [*o.keys, *extra_keys]
     need = [*keys, *o.order, "pnl", "cumulative_pnl", "trade_size"]
-    slim = ledger.select(*need, *([POS] if POS in ledger.columns else []))
+    slim = ledger.select(*need)
     if materialize_input:
         from .models import materialize
         slim = materialize(slim, "metrics-input")
-    x = with_drawdown(slim if POS in slim.columns else with_positions(slim, o), o, *extra_keys)
+    x = with_drawdown(slim, o, *extra_keys)
     sq = math.sqrt(cfg.trading_days)
     pnl, ts_ = F.col("pnl"), F.col("trade_size")
     last_key = F.struct(*[F.col(c) for c in o.order])

@@ -14,13 +14,15 @@ Every order-dependent operator of the library is written once as a function
   result equals the single keyed window for every frame no deeper than the halo.
 
 Prefix operators (running sum / max / last non-null), which no fixed halo can
-serve, use ``prefix_scan``: a local running window per chunk plus exclusive
-per-chunk offsets from a small table of chunk totals.
+serve, need no positions: their chunks are time buckets (``with_cells``). ``carry``
+reduces every cell to one row, scans those rows and hands the result back, several
+prefixes at a time; ``prefix_scan`` is its form for one of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -32,6 +34,7 @@ POS = "pos"          # 0-based position of a row inside its key
 _CH = "_chunk"       # home chunk of a row
 _K = "_k"            # chunk a (possibly halo) copy belongs to
 _BUCKET = "_bucket"
+CELL = "_cell"      # series and time bucket of a row
 
 
 def keyed_window(o: Ordering, *extra: str) -> WindowSpec:
@@ -108,7 +111,49 @@ def apply_ordered(df: DataFrame, o: Ordering, build: Callable[[DataFrame, Window
     return out if had_pos else out.drop(POS)
 
 
-# ------------------------------------------------------------------ prefix scans
+# ------------------------------------------------------------------ prefixes
+
+def with_cells(df: DataFrame, o: Ordering) -> DataFrame:
+    """Add the cell of each row: its series and time bucket (chunked mode only).
+
+    Cells follow each other in series order, so what a row needs of earlier rows is
+    local to its cell plus one carried value per cell. One struct column serves as
+    partition key and as join key alike (fields that are null are equal there), so
+    windows and joins by cell share one exchange.
+    """
+    if o.chunk_rows is None:
+        return df
+    from .timeseries import floor_time, interval_seconds
+    bucket = floor_time(F.col(o.order[0]), interval_seconds(o.bucket))
+    return df.withColumn(CELL, F.struct(*o.keys, bucket.alias(_BUCKET)))
+
+
+def cell_window(o: Ordering) -> WindowSpec:
+    """Orders the rows of a cell (of a series in keyed mode)."""
+    return keyed_window(o) if o.chunk_rows is None else Window.partitionBy(CELL).orderBy(*o.order)
+
+
+def latest(value: Column, o: Ordering, where: Column | None = None) -> Column:
+    """Aggregate: ``value`` of the last row in series order (of those that hold ``where``)."""
+    at = F.struct(*o.order)
+    return F.max_by(value, at if where is None else F.when(where, at))
+
+
+def carry(df: DataFrame, o: Ordering, totals: dict[str, Column],
+          prefixes: Callable[[DataFrame, WindowSpec], DataFrame], names: dict[str, str]) -> DataFrame:
+    """Add what the earlier cells of a series hand to each cell.
+
+    ``totals`` are aggregated per cell; ``prefixes(cells, w)`` turns them into the
+    columns ``names`` (name -> type) with ``w`` over the cells before the current one.
+    That window runs over one row per cell. In keyed mode nothing comes before.
+    """
+    if o.chunk_rows is None:
+        return df.withColumns({n: F.lit(None).cast(t) for n, t in names.items()})
+    cells = df.groupBy(CELL).agg(*[c.alias(n) for n, c in totals.items()])
+    w = Window.partitionBy(*[F.col(CELL)[k] for k in o.keys]).orderBy(F.col(CELL)[_BUCKET])
+    before = prefixes(cells, w.rowsBetween(Window.unboundedPreceding, -1))
+    return df.join(before.select(CELL, *names), CELL)
+
 
 _SCAN = {
     # name: (window aggregate, how the exclusive prefix and the local value combine)
@@ -123,32 +168,16 @@ def prefix_scan(df: DataFrame, o: Ordering, value: Column | str, op: str, out: s
                 *extra_keys: str) -> DataFrame:
     """Running ``sum`` / ``max`` / ``last non-null`` of ``value`` per key.
 
-    ``extra_keys`` restart the scan (e.g. a fold id). Chunked mode runs the
-    scan per chunk, then adds the exclusive prefix of earlier chunks' totals,
-    computed from one row per chunk.
+    ``extra_keys`` restart the scan (e.g. a fold id). Chunked mode runs the scan per
+    cell and adds the prefix carried from earlier cells.
     """
     agg, combine = _SCAN[op]
-    value = F.col(value) if isinstance(value, str) else value
-    # an inherited ``pos`` may have gaps after a filter; chunks only need it
-    # to be increasing in the series order, which a filter preserves
-    if o.chunk_rows is None:
-        w = keyed_window(o, *extra_keys).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, agg(value).over(w))
-    had_pos = POS in df.columns
-    p = with_positions(df, o).withColumn(_CH, F.floor(F.col(POS) / F.lit(int(o.chunk_rows))))
-    keys = [*o.keys, *extra_keys]
-    w_local = Window.partitionBy(*keys, _CH).orderBy(*o.order).rowsBetween(
-        Window.unboundedPreceding, 0)
-    p = p.withColumn("_v", value).withColumn("_local", agg(F.col("_v")).over(w_local))
-    if op == "last":
-        # a group-by has no row order: take the value at the largest position
-        tot = F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), F.col(POS)))
-    else:
-        tot = agg(F.col("_v"))
-    totals = p.groupBy(*keys, _CH).agg(tot.alias("_tot"))
-    w_pre = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, _CH, agg(F.col("_tot")).over(w_pre).alias("_pre"))
-    res = join_keys(p, offsets, [*keys, _CH], "left")
-    res = (res.withColumn(out, combine(F.col("_pre"), F.col("_local")))
-           .drop("_v", "_local", "_pre", _CH))
-    return res if had_pos else res.drop(POS)
+    o = replace(o, keys=(*o.keys, *extra_keys))
+    x = with_cells(df, o).withColumn("_v", F.col(value) if isinstance(value, str) else value)
+    v = F.col("_v")
+    x = carry(x, o, {"_tot": latest(v, o, v.isNotNull()) if op == "last" else agg(v)},
+              lambda t, w: t.withColumn("_pre", agg(F.col("_tot")).over(w)),
+              {"_pre": x.schema["_v"].dataType.simpleString() if op != "sum" else "double"})
+    local = agg(v).over(cell_window(o).rowsBetween(Window.unboundedPreceding, 0))
+    return x.withColumn(out, combine(F.col("_pre"), local) if o.chunk_rows is not None else local) \
+            .drop("_v", "_pre", CELL)
