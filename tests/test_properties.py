@@ -86,3 +86,12 @@ def test_ledger_is_laid_out_once(spark):
     s = sg.generate_signals(load_book(spark, SF_SMALL), SignalConfig())
     plan = led.execute_trades(s, ExecutionConfig(), CHUNKED)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 4 and plan.count("Exchange hashpartitioning") <= 10
+
+
+def test_labels_in_the_layout_of_the_features(spark):
+    book = load_book(spark, SF_SMALL).withColumn("mid_price", F.when(
+        F.col("seq") % 7 == 3, F.lit(float("nan"))).otherwise(F.col("mid_price")))
+    two = lb.add_labels(fx.feature_pipeline(book, FeatureConfig(), CHUNKED), LabelConfig(), CHUNKED)
+    one = lb.labelled_features(book, FeatureConfig(), LabelConfig(), CHUNKED)
+    cols = ["symbol", "seq", "label", "mid_price", "return_forward_1", "ofi_aggregate_rolling"]
+    assert same(one, two, cols) and one.columns == two.columns

@@ -200,9 +200,16 @@ def depth(extractors: Sequence[Extractor], cfg: FeatureConfig, o: Ordering) -> t
 
 def null_out_non_finite(df: DataFrame) -> DataFrame:
     """PRJ17: NaN and +-inf become NULL in every floating column."""
-    cols = {f.name: fr.null_out_non_finite(f.name) for f in df.schema.fields
-            if isinstance(f.dataType, (DoubleType, FloatType))}
-    return df.withColumns(cols) if cols else df
+    # one parsed expression a column: built from Column calls, the hundred or so columns
+    # of the feature table take the driver seconds
+    def clean(name: str) -> str:
+        c = "`" + name.replace("`", "``") + "`"
+        return f"if(isnan({c}) or abs({c}) = cast('infinity' as double), null, {c}) as {c}"
+
+    if not any(isinstance(f.dataType, (DoubleType, FloatType)) for f in df.schema.fields):
+        return df
+    return df.selectExpr(*[clean(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
+                           else "`" + f.name.replace("`", "``") + "`" for f in df.schema.fields])
 
 
 def feature_pipeline(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from ..config import LabelConfig, Ordering
+from ..config import FeatureConfig, LabelConfig, Ordering
+from ..functions import frames as fr
+from .features import DEFAULT_EXTRACTORS, feature_pipeline, reads
 from .ordered import apply_ordered
 
 
-def label_expr(w: WindowSpec, cfg: LabelConfig = LabelConfig(), mid: str = "mid_price"):
+def label_expr(w: WindowSpec, cfg: LabelConfig = LabelConfig(), mid: str | Column = "mid_price"):
     """LBL1/LBL2 as one expression: r = (mid[t+h] - mid) / mid.
 
     ternary: 2 if r > theta, 0 if r < -theta, 1 in between (ends inclusive);
-    binary: 1 if r > 0 else 0. NULL when r is NULL (the last h rows).
+    binary: 1 if r > 0 else 0. NULL when r is NULL (the last h rows) or NaN.
     """
-    m = F.col(mid)
+    m = F.col(mid) if isinstance(mid, str) else mid
     r = F.try_divide(F.lead(m, cfg.horizon).over(w) - m, m)
+    r = F.nanvl(r, F.lit(None).cast("double"))   # NaN would pass for a rise
     th = F.lit(cfg.threshold)
     if cfg.method == "ternary":
         return (F.when(r > th, F.lit(2)).when(r < -th, F.lit(0))
@@ -32,6 +35,20 @@ def add_labels(df: DataFrame, cfg: LabelConfig = LabelConfig(), ordering: Orderi
                          lookahead=cfg.horizon)
 
 
+def labelled_features(df: DataFrame, features: FeatureConfig = FeatureConfig(),
+                      cfg: LabelConfig = LabelConfig(), ordering: Ordering = Ordering(),
+                      out: str = "label") -> DataFrame:
+    """The feature pipeline and the label of each row in one layout of the series:
+    equal to ``add_labels`` over ``feature_pipeline`` at half the positions and halos."""
+    @reads(ahead=cfg.horizon)
+    def label(f: DataFrame, w: WindowSpec, _) -> DataFrame:
+        return f.withColumn(out, label_expr(w, cfg, fr.null_out_non_finite("mid_price")))
+
+    if "mid_price" not in df.columns:
+        raise ValueError("DataFrame must contain 'mid_price' column")
+    return feature_pipeline(df, features, ordering, (*DEFAULT_EXTRACTORS, label))
+
+
 def drop_unlabelled(df: DataFrame, label: str = "label") -> DataFrame:
     """FLT3."""
     return df.filter(F.col(label).isNotNull())

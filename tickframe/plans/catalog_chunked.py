@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig, LabelConfig
-from ..operators import features as fx
 from ..operators import labels as lb
 from ..operators import ledger as led
 from ..operators import metrics as mx
@@ -24,7 +23,7 @@ SMALL = replace(ORDERING, chunk_rows=400)
 
 
 def _label_summary(spark: SparkSession, sf: str) -> DataFrame:
-    f = lb.add_labels(fx.feature_pipeline(load_book(spark, sf), FeatureConfig(), SMALL), LabelConfig(), SMALL)
+    f = lb.labelled_features(load_book(spark, sf), FeatureConfig(), LabelConfig(), SMALL)
     return f.groupBy("symbol", "label").agg(
         F.count(F.lit(1)).alias("n"), F.avg("weighted_imbalance").alias("mean_weighted_imbalance"),
         F.avg("ofi_aggregate_rolling").alias("mean_ofi_rolling"))

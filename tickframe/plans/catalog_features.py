@@ -227,7 +227,7 @@ FROM (SELECT symbol, label, count(*) AS n_c
 def label_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: feature table -> ternary labels -> rows and mean weighted
     imbalance per symbol and label (the null label of the last row kept)."""
-    f = lb.add_labels(features(spark, sf), LabelConfig(), ORDERING)
+    f = lb.labelled_features(load_book(spark, sf), FeatureConfig(), LabelConfig(), ORDERING)
     return f.groupBy("symbol", "label").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("weighted_imbalance").alias("mean_weighted_imbalance"),
