@@ -95,3 +95,17 @@ def test_labels_in_the_layout_of_the_features(spark):
     one = lb.labelled_features(book, FeatureConfig(), LabelConfig(), CHUNKED)
     cols = ["symbol", "seq", "label", "mid_price", "return_forward_1", "ofi_aggregate_rolling"]
     assert same(one, two, cols) and one.columns == two.columns
+
+
+def test_correlation_takes_the_rows_both_columns_have(spark):
+    n = F.col("id")
+    df = spark.range(400).select(
+        (F.sin(n) + 1e6).alias("a"), F.when(n % 3 > 0, F.cos(n * 2) + n / 100).alias("b"),
+        F.lit(7.1).alias("fixed"), F.lit(None).cast("double").alias("void"))
+    cols = ["a", "b", "fixed", "void"]
+    got = {(r[0], r[1]): r[2] for r in mx.feature_correlation(df, cols).collect()}
+    want = df.toPandas().astype(float).corr()
+    assert len(got) == 10
+    for (x, y), v in got.items():
+        w = want.loc[x, y]
+        assert v is None if np.isnan(w) or "fixed" in (x, y) else abs(v - w) < 1e-9

@@ -163,16 +163,44 @@ def metric_report(metrics: DataFrame, *keys: str) -> DataFrame:
 def feature_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """AGG19: pairwise Pearson correlation, long form (pairwise-complete rows as pandas).
 
-    One aggregate holds all ``corr(a, b)`` of the upper triangle; the result is
-    unpivoted into ``(feature_a, feature_b, corr)`` without a driver round trip.
+    The columns are written once. Each task reduces its rows to the moments of all
+    pairs by matrix products (one row per pair, whatever the number of rows), which a
+    grouped sum adds up. Columns are shifted by their minimum before, which keeps
+    digits where the mean is large against the spread. NULL where a column is constant
+    on the rows of the pair. Any number of columns gives one pass; an aggregate of
+    thousands of ``corr`` expressions would not compile.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    aggs = [F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
-            .alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    wide = df.agg(*aggs)
-    items = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                      F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    return wide.select(F.explode(F.array(*items)).alias("_p")).select("_p.*")
+    from ..session import scratch_table
+    df = scratch_table(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "correlation-input")
+    low = df.agg(*[F.min(c).alias(c) for c in cols]).first()   # one value a column
+    x = df.select(*[(F.col(c) - F.lit(low[c])).cast("double").alias(c) for c in cols])
+    p = len(cols)
+
+    def moments(batches):
+        import numpy as np
+        import pyarrow as pa
+        n, sx, sxx, sxy = (np.zeros((p, p)) for _ in range(4))
+        for batch in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            known = ~np.isnan(v)
+            v, known = np.where(known, v, 0.0), known.astype(float)
+            n += known.T @ known
+            sx += v.T @ known            # [a, b]: sum of a over the rows where b is known
+            sxx += (v * v).T @ known
+            sxy += v.T @ v
+        i, j = np.triu_indices(p)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()),
+             *[pa.array(m) for m in (n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i], sxy[i, j])]],
+            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    sums = x.mapInArrow(moments, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double") \
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n, vx, vy = F.col("n"), F.expr("sxx - sx * sx / n"), F.expr("syy - sy * sy / n")
+    varies = (n > 1) & (vx > F.lit(1e-12) * F.col("sxx")) & (vy > F.lit(1e-12) * F.col("syy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"),
+                       F.when(varies, F.expr("sxy - sx * sy / n") / F.sqrt(vx * vy)).alias("corr"))
 
 
 def describe_features(df: DataFrame, cols: list[str], *keys: str) -> DataFrame:

@@ -100,23 +100,22 @@ SELECT symbol, prediction, count(*) AS n, avg(prob_up) AS mean_prob_up, avg(prob
 
 # ---------------------------------------------------------------- dashboard aggregates
 
-CORR_FEATURES = ["spread", "imbalance", "microprice", "weighted_imbalance", "ofi_aggregate",
-                 "depth_imbalance"]
+DESCRIBED = ["mid_price", "spread", "imbalance", *model_feature_names()]
 
 
 def _corr_sql() -> str:
-    pairs = [(a, b) for i, a in enumerate(CORR_FEATURES) for b in CORR_FEATURES[i:]]
-    aggs = ", ".join(f"corr({a}, {b}) AS c{i}" for i, (a, b) in enumerate(pairs))
-    rows = "\nUNION ALL\n".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, c{i} AS corr FROM w"
-                                for i, (a, b) in enumerate(pairs))
-    return f"WITH feat AS ({features_sql()}), w AS (SELECT {aggs} FROM feat)\n{rows}"
+    names = ", ".join(f"'{c}'" for c in DESCRIBED)
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in DESCRIBED)
+    return f"""WITH feat AS ({features_sql(MODEL_READY)}),
+l AS (SELECT symbol, seq, unnest([{names}]) AS f, unnest(range({len(DESCRIBED)})) AS i, unnest([{values}]) AS v FROM feat)
+SELECT a.f AS feature_a, b.f AS feature_b,
+       CASE WHEN min(a.v) < max(a.v) AND min(b.v) < max(b.v) THEN corr(a.v, b.v) END AS corr
+FROM l a JOIN l b ON a.symbol = b.symbol AND a.seq = b.seq AND a.i <= b.i AND a.v IS NOT NULL AND b.v IS NOT NULL
+GROUP BY a.f, b.f"""
 
 
 register("feature_correlation", "feature_a feature_b corr:d", _corr_sql())(
-    lambda spark, sf: mx.feature_correlation(features(spark, sf), CORR_FEATURES))
-
-
-DESCRIBED = ["mid_price", "spread", "imbalance", *model_feature_names()]
+    lambda spark, sf: mx.feature_correlation(features(spark, sf, MODEL_READY), DESCRIBED))
 
 
 def _describe_sql() -> str:
