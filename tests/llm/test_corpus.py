@@ -258,6 +258,24 @@ def test_classifiers_at_the_edges(spark):
     assert classify.score_toxic(df.limit(0), model).count() == 0
 
 
+def test_texts_of_toxic_words_alone_score_high(spark):
+    rows = [(i, ("bad vile words " if i % 2 else "kind warm words ") * (1 + i % 5), "s") for i in range(60)]
+    rows += [(200 + i, t, "s") for i, t in enumerate(["vile", "bad vile", "bad vile words", "vile " * 500])]
+    rows += [(300 + i, t, "s") for i, t in enumerate(["", "words", "kind", "kind warm words", "kind warm words other"])]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    df = documents(spark, rows)
+    model = classify.fit_toxic(df, classify.training_labels(labels, "toxic", 4, 2))
+    score = {r.doc_id: r.score for r in classify.score_toxic(df, model).collect()}
+    assert model.curve[0] > 0
+    assert min(score[i] for i in range(200, 204)) > 0.9 and max(score[i] for i in range(300, 305)) < 0.1
+    assert {r.doc_id for r in classify.drop_toxic(df, model, 0.3).collect()} & set(range(200, 305)) == set(range(300, 305))
+
+
+def test_the_curve_never_falls_with_evidence():
+    import numpy as np
+    assert classify._logistic(np.array([3.0, 2.0, 0.0, 0.0]), np.array([0.0, 0.0, 1.0, 1.0])) == (0.0, 0.0)
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_pipeline_stages(spark):

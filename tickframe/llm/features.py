@@ -67,9 +67,11 @@ def log_ratios(levels: list[np.ndarray], own: np.ndarray | None, counts: np.ndar
 
 def toxic_evidence(data: np.ndarray, offs: np.ndarray, counts: np.ndarray, slots: int, prior: float,
                    discount: float, margin: float, label: np.ndarray | None = None) -> np.ndarray:
-    """Per row: what its words' log ratios exceed the row's median by, beyond
-    ``margin``, summed and divided by the root of the number of words. The median
-    takes out what a text's language or topic tells about its class."""
+    """Per row: what its words' log ratios exceed the row's reference by, beyond
+    ``margin``, summed and divided by the root of the number of words. The reference
+    is the row's median, which takes out what a text's language or topic tells about
+    its class, where that is below 0: toxic words never excuse each other. A word's
+    evidence is at most its own log ratio, so neutral words have none."""
     n_rows = len(offs) - 1
     levels, row = expressions(data, offs)
     out = np.zeros(n_rows)
@@ -81,8 +83,8 @@ def toxic_evidence(data: np.ndarray, offs: np.ndarray, counts: np.ndarray, slots
     first = np.cumsum(n) - n
     some = n > 0
     middle = np.zeros(n_rows)
-    middle[some] = ratio[order][(first + (n - 1) // 2)[some]]
-    over = np.maximum(ratio - middle[row] - margin, 0)
+    middle[some] = np.minimum(ratio[order][(first + (n - 1) // 2)[some]], 0)
+    over = np.maximum(np.minimum(ratio - middle[row] - margin, ratio), 0)
     return np.bincount(row, over, minlength=n_rows) / np.sqrt(np.maximum(n, 1))
 
 
