@@ -271,6 +271,24 @@ def test_texts_of_toxic_words_alone_score_high(spark):
     assert {r.doc_id for r in classify.drop_toxic(df, model, 0.3).collect()} & set(range(200, 305)) == set(range(300, 305))
 
 
+def test_every_expression_keeps_its_own_counts(spark):
+    words = [f"{a}{b}{c}q{a}" for a in "abcdefghijklmnopqrst" for b in "abcdefghij" for c in "abcdefghij"]
+    rows = [(i, " ".join(words[:1000] if i % 2 else words[1000:]), "s") for i in range(40)]
+    rows += [(40 + i, "only" + " twice" * (i % 2), "s") for i in range(2)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)], "doc_id long, toxic int")
+    df = documents(spark, rows)
+    train = classify.training_labels(labels, "toxic", 4, 3)
+    model = classify.fit_toxic(df, train)
+    learned = {r.id: r.label for r in train.collect()}
+    want = Counter()
+    for i, t, _ in rows:
+        for e in {(level, w[:p]) for w in t.split() for level, p in enumerate((3, 5, None))} if i in learned else ():
+            want[e, learned[i]] += 1
+    kept = [e for e in {e for e, _ in want} if want[e, 0] + want[e, 1] >= 2]
+    assert len(model.units) == len(kept) and (model.units[1:] > model.units[:-1]).all()
+    assert sorted(map(tuple, model.counts.tolist())) == sorted((want[e, 0], want[e, 1]) for e in kept)
+
+
 def test_the_curve_never_falls_with_evidence():
     import numpy as np
     assert classify._logistic(np.array([3.0, 2.0, 0.0, 0.0]), np.array([0.0, 0.0, 1.0, 1.0])) == (0.0, 0.0)

@@ -44,7 +44,15 @@ def class_counts(data: np.ndarray, offs: np.ndarray, label: np.ndarray) -> tuple
     return v[first], np.stack([np.diff(np.append(first, len(v))) - one, one], axis=1)
 
 
-def log_ratios(levels: list[np.ndarray], own: np.ndarray | None, counts: np.ndarray, slots: int,
+def _counts_of(h: np.ndarray, units: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Class counts of expressions, zeros for those that ``units`` (sorted) lacks."""
+    if len(units) == 0:
+        return np.zeros((len(h), 2))
+    at = np.minimum(np.searchsorted(units, h), len(units) - 1)
+    return np.where((units[at] == h)[:, None], counts[at], 0).astype(np.float64)
+
+
+def log_ratios(levels: list[np.ndarray], own: np.ndarray | None, units: np.ndarray, counts: np.ndarray,
                prior: float, discount: float) -> np.ndarray:
     """Per word, log P(word | toxic) - log P(word | ordinary).
 
@@ -52,20 +60,26 @@ def log_ratios(levels: list[np.ndarray], own: np.ndarray | None, counts: np.ndar
     P(class). P(class | w) is Kneser-Ney smoothed: each class count is discounted,
     and what was taken off (in proportion to the number of classes seen) goes to the
     shorter expression's distribution, down to the class shares. ``own`` (class of
-    the word's document) leaves the document itself out of the counts."""
+    the word's document) leaves the document itself out of the counts. ``units`` are
+    the sorted hashes of the counted expressions."""
+    if own is None:
+        # a word's ratio is the same everywhere: each distinct word is looked up once
+        _, one, every = np.unique(levels[-1], return_index=True, return_inverse=True)
+        levels = [h[one] for h in levels]
     p = np.full(len(levels[0]), prior)
     for h in levels:
-        c = counts[(h % U(slots)).astype(np.int64)].astype(np.float64)
+        c = _counts_of(h, units, counts)
         if own is not None:
             seen = c.sum(axis=1) > 0
             c[seen, own[seen]] = np.maximum(c[seen, own[seen]] - 1, 0)
         total = c.sum(axis=1)
         back = discount * ((c > 0).sum(axis=1))
         p = np.where(total > 0, (np.maximum(c[:, 1] - discount, 0) + back * p) / np.maximum(total, 1), p)
-    return np.log(p / (1 - p)) - np.log(prior / (1 - prior))
+    ratio = np.log(p / (1 - p)) - np.log(prior / (1 - prior))
+    return ratio if own is not None else ratio[every]
 
 
-def toxic_evidence(data: np.ndarray, offs: np.ndarray, counts: np.ndarray, slots: int, prior: float,
+def toxic_evidence(data: np.ndarray, offs: np.ndarray, units: np.ndarray, counts: np.ndarray, prior: float,
                    discount: float, margin: float, label: np.ndarray | None = None) -> np.ndarray:
     """Per row: what its words' log ratios exceed the row's reference by, beyond
     ``margin``, summed and divided by the root of the number of words. The reference
@@ -77,7 +91,7 @@ def toxic_evidence(data: np.ndarray, offs: np.ndarray, counts: np.ndarray, slots
     out = np.zeros(n_rows)
     if len(row) == 0:
         return out
-    ratio = log_ratios(levels, None if label is None else label[row], counts, slots, prior, discount)
+    ratio = log_ratios(levels, None if label is None else label[row], units, counts, prior, discount)
     n = np.bincount(row, minlength=n_rows)
     order = np.lexsort((ratio, row))
     first = np.cumsum(n) - n
