@@ -210,6 +210,37 @@ def test_leaks_match_brute_force(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, _ in rows if d not in {x for x, _ in want})
 
 
+def test_documents_shorter_than_an_item(spark):
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(vocab, k=n))) for i, n in enumerate([57, 57, 40, 20, 12, 9, 6, 5, 3])]
+    rows = [(0, " ".join(items[0][1].split(" ")[:50]))]
+    for i, t in items:
+        w = t.split(" ")
+        for n in range(max(1, len(w) - 14), len(w)):
+            rows += [(len(rows), " ".join(w[:n])), (len(rows) + 1, " ".join(w[-n:]).upper())]
+            rows.append((len(rows), " ".join(w[:n // 2] + ["edit"] + w[n // 2 + 1:n])))
+    want = {}
+    for d, t in rows:
+        mine = plain(t)
+        for i, it in items:
+            x = plain(it)
+            k = min(5, len(x))
+            if k <= len(mine) < len(x):
+                a, b = (Counter(tuple(z[j:j + k]) for j in range(len(z) - k + 1)) for z in (mine, x))
+                s = sum((a & b).values()) / sum((a | b).values())
+                if s >= 0.8:
+                    want[d, i] = s
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = documents(spark, [(d, t, "s") for d, t in rows])
+    got = decontam.find_leaks(df, bench).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(want)
+    assert want[0, 0] == pytest.approx(46 / 53) and len(want) > 20
+    assert {(r.first_word, r.n_windows) for r in got} == {(0, 1)}
+    kept = {r.doc_id for r in decontam.drop_leaks(df, bench).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, _ in want}
+
+
 def test_leaks_in_blocks_of_items(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 7)
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -1,7 +1,7 @@
 """Benchmark decontamination.
 
 Every window of a document that has as many words as a benchmark item gets a
-SimHash over its words. Cutting it into blocks, a multi-index finds all item
+SimHash over its words; a document with fewer words is one window. Cutting it into blocks, a multi-index finds all item
 fingerprints within the Hamming radius (two fingerprints within ``radius`` bits
 agree in some block up to ``radius // blocks`` bits; every value that near is
 listed). The exact weighted-shingle similarity of window and item decides.
@@ -48,7 +48,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least:
     and its first word (the earliest of equals).
 
     Words are runs without space and ASCII punctuation, A-Z lower-cased. An item
-    shorter than ``shingle`` words is one shingle; an item without words leaks
+    shorter than ``shingle`` words is one shingle; a document with fewer words than
+    an item is compared as a whole; an item without words leaks
     nowhere; null texts are empty. Repeated rows with one id give one row, items
     repeated with one id likewise. Empty tables give no rows; extra columns are not
     read.

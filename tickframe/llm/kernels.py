@@ -251,10 +251,13 @@ class ItemIndex:
 
     def search(self, data: np.ndarray, offs: np.ndarray):
         """(row, item, first word, similarity) of every window as long as an item
-        whose weighted shingles are similar enough to it."""
+        whose weighted shingles are similar enough to it. A row with fewer words than
+        the item is one window."""
         hashes, row = word_hashes(data, offs)
         if len(hashes) == 0:
             return
+        size = np.bincount(row, minlength=len(offs) - 1)
+        begin = np.cumsum(size) - size
         for k, members in self.members.items():
             g = grams(hashes, k)
             at = np.searchsorted(members, g)
@@ -262,12 +265,22 @@ class ItemIndex:
             known = members[at] == g
             known &= row[:len(g)] == row[k - 1:]
             hits = np.flatnonzero(known)
+            row_hits = np.bincount(row[hits], minlength=len(size))
             for n in self.by_len:
                 # a window that holds too few shingles of any item cannot be similar:
                 # ``need`` hits in a row must lie in it
                 need = max(1, math.ceil(self.least * (n - k + 1) - 1e-9))
                 if min(self.shingle, n) != k or len(hits) < need:
                     continue
+                short = np.flatnonzero((size < n) & (size >= need + k - 1) & (row_hits >= need))
+                if len(short):
+                    words_of = hashes[ranges(begin[short], begin[short] + size[short])]
+                    fps = majority(words_of, np.cumsum(size[short]) - size[short])
+                    for d, item in zip(*self.near(fps, n)):
+                        a = begin[short[d]]
+                        s = self.similarity(hashes[a:a + size[short[d]]], int(item))
+                        if s >= self.least:
+                            yield int(short[d]), int(item), int(a), s
                 lo, hi = hits[need - 1:] - (n - k), hits[:len(hits) - need + 1]
                 fits = lo <= hi
                 first = np.unique(ranges(np.maximum(lo[fits], 0), hi[fits] + 1))
