@@ -91,6 +91,41 @@ def test_hot_anchors_match_brute_force(spark, monkeypatch):
                   repeats.remove_repeated_bytes(docs(spark, rows)).collect()) == sorted(brute_bytes(rows))
 
 
+def test_copies_of_a_long_text_are_dealt_over_shards():
+    import numpy as np
+    kind, parts, shards = matching.Bytes, 8, 32
+    def load(copies, n_keys):
+        """Most symbols in a shard: every key of each bucket named by all copies."""
+        got = np.zeros(shards)
+        for b in range(parts):
+            keys = np.random.default_rng(b).integers(0, 1 << 40, n_keys // parts).astype(np.uint64)
+            ids = np.tile(np.arange(copies), len(keys))
+            rows = list(matching.shared_anchors(kind, ids, np.repeat(keys, copies), True, shards, 1000, parts))
+            pairs = sum((list(zip(np.frombuffer(i, np.int64), matching.unpack(k), np.frombuffer(s, np.int32)))
+                         for _, i, k, s in rows), [])
+            assert len(pairs) == len(ids)
+            where = {}
+            assert all(where.setdefault(k, s) == s for _, k, s in pairs)      # a key meets in one shard
+            got += np.bincount([s for _, _, s in pairs], minlength=shards)
+        return got
+    assert (load(90, 400) > 0).sum() == 1                  # light: neighbours stay together
+    heavy = load(900, 800)                                 # 10 MB of text
+    assert (heavy > 0).sum() > 8 and heavy.max() < heavy.sum() / 5
+
+
+def test_dealt_copies_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(matching.Bytes, "load", 500)
+    monkeypatch.setattr(matching.Words, "load", 500)
+    rng = random.Random(21)
+    long = " ".join(rng.choices([f"w{i}" for i in range(300)], k=260))
+    rows = [(i, long if i % 2 else long[:700] + f" edit{i} " + long[760:]) for i in range(9)]
+    rows += [(20, " ".join(rng.choices([f"w{i}" for i in range(300)], k=100))), (21, long[300:600])]
+    got = {r.doc_id: (r.n, r.n_removed) for r in repeats.remove_repeated_words(docs(spark, rows)).collect()}
+    assert got == {d: (n, k) for d, n, k, _ in brute_words(rows)}
+    got = {r.doc_id: (r.n, r.n_removed) for r in repeats.remove_repeated_bytes(docs(spark, rows)).collect()}
+    assert got == {d: (n, k) for d, n, k, _, _ in brute_bytes(rows)}
+
+
 def test_substrings_with_repeated_rows_and_null_ids(spark):
     text = " ".join(f"t{i}" for i in range(40))
     rows = [(1, text), (1, text), (None, text), (None, None)]

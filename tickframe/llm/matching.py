@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .kernels import BYTE_VALUE, U, grams, mix64, ranges, row_of, spans_hash, words
+from .kernels import BASE, BYTE_VALUE, U, grams, mix64, ranges, row_of, spans_hash, words
 
 KEY_BYTES = 5
 HIGH, LOW = U(0xFFFFFFFF00000000), U(0xFFFFFFFF)
@@ -18,6 +18,8 @@ HIGH, LOW = U(0xFFFFFFFF00000000), U(0xFFFFFFFF)
 class Words:
     """Symbols are words (runs without space and the controls 9 to 13)."""
     n, k = 35, 18
+    #: Symbols that meet in a shard on account of one smallest id.
+    load = 1 << 20
 
     @staticmethod
     def places(data, offs):
@@ -45,6 +47,7 @@ class Words:
 class Bytes:
     """Symbols are bytes."""
     n, k = 50, 24
+    load = 4 << 20
 
     @staticmethod
     def places(data, offs):
@@ -127,12 +130,17 @@ def anchor_blobs(kind, data, offs, ids: np.ndarray, buckets: int, most: int):
         yield int(b[a]), ids[r[first[lo:hi]]].tobytes(), size[lo:hi].astype(np.int32).tobytes(), pack(key[a:z])
 
 
-def shared_anchors(ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int, hot: int, parts: int):
+def shared_anchors(kind, ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int, hot: int, parts: int):
     """Of a bucket's (id, key) pairs those whose key is shared (by several ids if
     ``by_id``, else named more than once), with the shard they meet in: (part, ids,
     keys, shards), ids dealt over ``parts``. The shard is that of the smallest id, so
     that a row's neighbouring anchors shared with one row meet in one place; keys in
-    more than ``hot`` pairs are dealt by key."""
+    more than ``hot`` pairs are dealt by key.
+
+    The ``parts`` buckets hold equal shares of the anchors by hash. Each lets a
+    smallest id bring at most its share of ``kind.load`` symbols to one shard (an
+    anchor stands for about (n - k + 2) / 2 symbols); beyond it the id's keys are
+    dealt over as many shards as their stretches need when no two are neighbours."""
     order = np.lexsort((ids, keys))
     i, k = ids[order], keys[order]
     new = np.concatenate([[True], k[1:] != k[:-1]])
@@ -143,7 +151,13 @@ def shared_anchors(ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int,
         some = i[first] != i[last]
     else:
         some = size > 1
-    home = np.where(size > hot, mix64(k[first] + U(1)), mix64(i[first].view(U)))
+    _, of_least = np.unique(i[first], return_inverse=True)
+    pairs = np.bincount(of_least, np.where(some & (size <= hot), size, 0))[of_least]
+    share = kind.load / parts
+    heavy = pairs * (kind.n - kind.k + 2) / 2 > share
+    places = np.where(heavy, np.ceil(pairs * (2 * kind.n - kind.k) / share), 1).astype(U)
+    place = mix64(k[first] + U(3)) % places
+    home = np.where(size > hot, mix64(k[first] + U(1)), mix64(i[first].view(U) + place * U(BASE)))
     shard = (home % U(shards)).astype(np.int32)
     take = np.repeat(some, size)
     i, k, s = i[take], k[take], np.repeat(shard, size)[take]

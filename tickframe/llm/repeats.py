@@ -63,7 +63,8 @@ def _spans(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str) -> tu
             ids.append(np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32)))
             keys.append(matching.unpack(k))
         bucket = table.column("bucket")[0].as_py()
-        rows = list(matching.shared_anchors(np.concatenate(ids), np.concatenate(keys), by_id, shards, HOT, width))
+        rows = list(matching.shared_anchors(kind, np.concatenate(ids), np.concatenate(keys), by_id, shards, HOT,
+                                            width))
         cols = list(zip(*rows)) if rows else [(), (), (), ()]
         return pa.table({"part": pa.array(cols[0], pa.int32()), "bucket": pa.array([bucket] * len(rows), pa.int32()),
                          "ids": pa.array(cols[1], pa.binary()), "keys": pa.array(cols[2], pa.binary()),
