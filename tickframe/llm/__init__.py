@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from . import features as _features
 from . import kernels as _kernels
 from . import matching as _matching
+from . import trie as _trie
 
-for _m in (_features, _kernels, _matching):
+for _m in (_features, _kernels, _matching, _trie):
     cloudpickle.register_pickle_by_value(sys.modules[_m.__name__])

@@ -4,11 +4,11 @@ production parameters to its whole table, and shapes the rows it is asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, classify, decontam, exact, mixing, repeats, simhash, warc
+from . import chat, classify, decontam, exact, mixing, repeats, simhash, trie, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -229,3 +229,51 @@ cut AS (SELECT g.doc_id, sum(z - a) AS gone, count(*) AS n, max(z) AS last,
 SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
        coalesce(n, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN cut c ON d.doc_id = c.doc_id"""
+
+
+# ------------------------------------------------------------------ conversation trie
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation c takes its first h turns, h = crc32(c) % 9, from conversation
+    c - c % 5. Those five are dealt together, so the rebuilding needs no second exchange."""
+    rows = table(spark, sf_dir, "conversations")
+    own = F.col("conv_id")
+    convs = trie.conversation_turns(rows, by=own - own % 5)
+    first = F.max(F.when(F.col("conv_id") == F.col("near"), F.slice("turns", 1, 8))).over(Window.partitionBy("near"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    built = convs.withColumn("first", F.coalesce(first, F.array().cast("array<string>"))).withColumn("h", h).select(
+        "conv_id", trie.path(F.concat(F.expr("slice(first, 1, h)"), F.expr("slice(turns, h + 1, size(turns))"))).alias("path"))
+    return trie.prefix_trie(built)
+
+
+#: CRC-32 of an ASCII string expression, bit by bit.
+CRC_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT)"""
+
+ORACLE_SQL["op13_conversation_trie"] = f"""
+WITH r AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, turn, role, CAST(strlen(text) AS BIGINT) AS bytes,
+             substr(sha256(strlen(role) || ':' || role || text), 1, 32) || lower(lpad(printf('%x', strlen(text)), 16, '0')) AS token FROM r),
+t AS (SELECT c, token, bytes, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, token) AS pos FROM k),
+ids AS (SELECT c, c - c % 5 AS base, {CRC_SQL.format(x="CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT c FROM r) x),
+built AS (SELECT i.c, pos, token, bytes FROM ids i JOIN t ON t.c = i.base AND pos <= h
+          UNION ALL SELECT i.c, pos, token, bytes FROM ids i JOIN t ON t.c = i.c AND pos > h),
+seq AS (SELECT i.c, coalesce(list(token ORDER BY pos) FILTER (token IS NOT NULL), []) AS s,
+               coalesce(list(bytes ORDER BY pos) FILTER (token IS NOT NULL), []) AS z
+        FROM ids i LEFT JOIN built b ON i.c = b.c GROUP BY i.c),
+pre AS (SELECT c, d.d AS depth, len(s) AS n, sha256(array_to_string(s[1:d.d], '')) AS key,
+               sha256(array_to_string(s[1:greatest(d.d - 1, 0)], '')) AS up,
+               CASE WHEN d.d = 0 THEN 0 ELSE z[d.d] END AS bytes FROM seq, unnest(range(0, len(s) + 1)) d(d)),
+node AS (SELECT key, depth, any_value(up) AS up, any_value(bytes) AS bytes, min(c) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CASE WHEN n = depth THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends_sha256
+         FROM pre GROUP BY key, depth),
+kids AS (SELECT up AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY up),
+below AS (SELECT DISTINCT a.key AS top, b.key FROM pre a JOIN pre b ON a.c = b.c AND a.depth <= b.depth),
+sub AS (SELECT top, CAST(sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+               CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens
+        FROM below JOIN node ON below.key = node.key LEFT JOIN kids ON kids.key = node.key GROUP BY top)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, CASE WHEN node.depth > 0 THEN p.conv_id END AS parent_conv_id, node.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, node.ends_sha256
+FROM node LEFT JOIN node p ON node.up = p.key LEFT JOIN kids ON kids.key = node.key JOIN sub ON sub.top = node.key"""
