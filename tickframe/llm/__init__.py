@@ -11,7 +11,9 @@ from pyspark import cloudpickle
 from . import features as _features
 from . import kernels as _kernels
 from . import matching as _matching
+from . import mixture as _mixture
 from . import trie as _trie
+from . import variants as _variants
 
-for _m in (_features, _kernels, _matching, _trie):
+for _m in (_features, _kernels, _matching, _mixture, _trie, _variants):
     cloudpickle.register_pickle_by_value(sys.modules[_m.__name__])

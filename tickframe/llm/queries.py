@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, classify, decontam, exact, mixing, repeats, simhash, trie, warc
+from . import chat, classify, decontam, exact, mixing, mixture, repeats, simhash, trie, variants, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -185,6 +185,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(classify.score_quality(docs, classify.fit_ranking(docs, train)), 3, 1, 0.5)
 
 
+# ------------------------------------------------------------------ languages
+
+@query
+def op12_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(classify.remainder("doc_id", 3) == 1, F.lit(False))
+    model = mixture.fit_languages(docs.filter(classify.remainder("doc_id", 3) != 1))
+    return mixture.score_languages(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
+
+
 # ------------------------------------------------------------------ substrings
 
 @query
@@ -277,3 +288,39 @@ sub AS (SELECT top, CAST(sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS
 SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, CASE WHEN node.depth > 0 THEN p.conv_id END AS parent_conv_id, node.n_convs,
        coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, node.ends_sha256
 FROM node LEFT JOIN node p ON node.up = p.key LEFT JOIN kids ON kids.key = node.key JOIN sub ON sub.top = node.key"""
+
+
+# ------------------------------------------------------------------ spelling variants
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = variants.count_runs(table(spark, sf_dir, "documents"), least=5, every=97)
+    return variants.variant_forms(runs.filter("n >= 3"), factor=2, least=5)
+
+
+ORACLE_SQL["op11_spelling_variants"] = """
+WITH RECURSIVE tab AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                 lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+run AS (SELECT doc_id, w, count(*) AS k FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\\x{00C0}-\\x{00FF}]+')) AS w FROM documents) x
+  WHERE length(w) >= 5 GROUP BY ALL),
+crc AS (SELECT w, k, CASE WHEN doc_id IS NULL THEN 1 ELSE xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(regexp_replace(hex(encode(doc_id || ':' || w)), '(..)', '\\1 ', 'g'), ' ')[:-2],
+                lambda c: CAST('0x' || c AS BIGINT))),
+    lambda a, b: xor(t[CAST(xor(a, b) & 255 AS INT) + 1], a >> 8)), 4294967295::BIGINT) END AS h FROM run, tab),
+word AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+  SELECT k, CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word
+  FROM crc) y WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+hole AS (SELECT word, n, p.i, substr(word, 1, p.i - 1) AS a, substr(word, p.i + 1) AS b FROM word, unnest(range(1, length(word) + 1)) p(i)),
+pair AS (SELECT x.word, y.word AS other FROM hole x JOIN hole y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+         UNION SELECT h.word, w.word FROM hole h JOIN word w ON h.a || h.b = w.word
+         UNION SELECT w.word, h.word FROM hole h JOIN word w ON h.a || h.b = w.word),
+best AS (SELECT pair.word, CAST(count(*) AS BIGINT) AS n_near, max(o.n) AS top_n,
+                arg_min(o.word, (-o.n, o.word)) AS top FROM pair JOIN word o ON pair.other = o.word GROUP BY pair.word),
+form AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 2 * w.n THEN top END AS form,
+                CASE WHEN top_n >= 2 * w.n THEN top_n END AS form_n FROM word w LEFT JOIN best b ON w.word = b.word),
+chain AS (SELECT word, word AS at FROM word
+          UNION ALL SELECT c.word, f.form FROM chain c JOIN form f ON c.at = f.word WHERE f.form IS NOT NULL),
+root AS (SELECT c.word, c.at AS root FROM chain c JOIN form f ON c.at = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM form f JOIN root r ON f.word = r.word"""
