@@ -102,21 +102,32 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as parquet in the shared folder and read it back."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the folder of a ``scratch_table`` that nothing reads any more."""
+    if (spark := _written.pop(getattr(df, "_scratch", None), None)) is not None:
+        _delete(spark, df._scratch)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001  the session may be gone already
+        pass
 
 
 def drop_scratch(prefix: str = "") -> None:
     """Delete the intermediate folders this process wrote whose name starts with ``prefix``."""
-    for path, spark in list(_written.items()):
+    for path in list(_written):
         if not os.path.basename(path).startswith(prefix):
             continue
-        del _written[path]
-        try:
-            jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session may be gone already
-            pass
+        _delete(_written.pop(path), path)
 
 
 atexit.register(drop_scratch)
