@@ -128,47 +128,65 @@ def estimate(langs: list[str], keys: np.ndarray, counts: np.ndarray) -> Language
     return LanguageModel(langs, keys, *(np.log(x).astype(np.float32) for x in (three, two, share)))
 
 
-def _em(p: np.ndarray, doc: np.ndarray, theta: np.ndarray, rounds: int):
-    """Proportions after ``rounds`` steps, and each text's log-likelihood (relative to
-    the scale of ``p``). ``doc`` is the text of each word, sorted, each text with a word."""
-    starts = np.flatnonzero(np.diff(doc, prepend=-1))
-    n = np.diff(np.append(starts, len(doc)))[:, None]
-    for _ in range(rounds):
-        r = theta[doc] * p
-        r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-300)
-        theta = np.add.reduceat(r, starts, axis=0) / n
-    fit = np.log(np.maximum((theta[doc] * p).sum(axis=1), 1e-300))
+def _em(p: np.ndarray, starts: np.ndarray, theta: np.ndarray, rounds: int, close: float = 1e-4):
+    """Proportions (languages x texts) after at most ``rounds`` steps, and each text's
+    log-likelihood (relative to the scale of ``p``, languages x words). A text's words begin
+    at ``starts``. Texts whose proportions moved less than ``close`` in a step are done."""
+    theta = theta.copy()
+    live, q, at = np.arange(len(starts)), p, starts
+    for k in range(rounds):
+        n = np.diff(np.append(at, q.shape[1]))
+        old = theta[:, live]
+        r = np.repeat(old, n, axis=1)
+        r *= q
+        r /= np.maximum(r.sum(axis=0), 1e-300)
+        new = np.add.reduceat(r, at, axis=1) / n
+        theta[:, live] = new
+        moves = np.abs(new - old).max(axis=0) >= close
+        if not moves.any():
+            break
+        if k + 1 < rounds and n[moves].sum() < 0.7 * q.shape[1]:
+            q = q[:, np.repeat(moves, n)]
+            live, at = live[moves], np.cumsum(n[moves]) - n[moves]
+    n = np.diff(np.append(starts, p.shape[1]))
+    fit = np.log(np.maximum((np.repeat(theta, n, axis=1) * p).sum(axis=0), 1e-300))
     return theta, np.add.reduceat(fit, starts)
 
 
-def proportions(ll: np.ndarray, doc: np.ndarray, penalty: float, rounds: int) -> np.ndarray:
-    """Proportions (texts x languages) of the texts 0.. that ``doc`` names for each word;
-    languages outside a text's set have 0."""
-    texts, m = int(doc[-1]) + 1, ll.shape[1]
-    p = np.exp(ll - ll.max(axis=1, keepdims=True))
-    starts = np.flatnonzero(np.diff(doc, prepend=-1))
-    words = np.diff(np.append(starts, len(doc)))
-    full, _ = _em(p, doc, np.full((texts, m), 1 / m), rounds)
-    order = np.argsort(-full, axis=1, kind="stable")
-    alone = np.add.reduceat(ll - ll.max(axis=1, keepdims=True), starts, axis=0)
-    out = np.zeros((texts, m))
-    out[np.arange(texts), alone.argmax(axis=1)] = 1
-    best = alone.max(axis=1)
-    live = np.arange(texts)
+def proportions(ll: np.ndarray, starts: np.ndarray, penalty: float, rounds: int) -> np.ndarray:
+    """Proportions (texts x languages) of texts whose words begin at ``starts`` in ``ll``
+    (words x languages); languages outside a text's set have 0."""
+    texts, m = len(starts), ll.shape[1]
+    ll = np.ascontiguousarray(ll.T)
+    ll -= ll.max(axis=0)
+    alone = np.add.reduceat(ll, starts, axis=1)
+    p = np.exp(ll)
+    words = np.diff(np.append(starts, p.shape[1]))
+    full, _ = _em(p, starts, np.full((m, texts), 1 / m), rounds)
+    order = np.argsort(-full, axis=0, kind="stable")
+    out = np.zeros((m, texts))
+    out[alone.argmax(axis=0), np.arange(texts)] = 1
+    best, live = alone.max(axis=0), np.arange(texts)
     for k in range(2, m + 1):
-        # texts that more languages have made likelier so far
-        rows = np.isin(doc, live, assume_unique=False) if len(live) < texts else np.ones(len(doc), bool)
-        mask = np.zeros((len(live), m))
-        np.put_along_axis(mask, order[live, :k], 1, axis=1)
-        start = full[live] * mask + 1e-9 * mask
-        theta, fit = _em(p[rows], np.searchsorted(live, doc[rows]), start / start.sum(axis=1, keepdims=True), rounds)
+        # a set of k languages at best explains every word by its likeliest: no loss at all
+        hope = best[live] < -penalty * (k - 1) * np.log(words[live] + 1)
+        if not hope.any():
+            break
+        part = np.zeros(texts, bool)
+        part[live[hope]] = True
+        live = live[hope]
+        rows = p if part.all() else p[:, np.repeat(part, words)]
+        mask = np.zeros((m, len(live)))
+        np.put_along_axis(mask, order[:k, live], 1, axis=0)
+        start = (full[:, live] + 1e-3) * mask
+        theta, fit = _em(rows, np.cumsum(words[live]) - words[live], start / start.sum(axis=0), rounds)
         fit = fit - penalty * (k - 1) * np.log(words[live] + 1)
         better = fit > best[live]
-        live, theta, fit = live[better], theta[better], fit[better]
+        live, theta, fit = live[better], theta[:, better], fit[better]
         if not len(live):
             break
-        out[live], best[live] = theta, fit
-    return out
+        out[:, live], best[live] = theta, fit
+    return out.T
 
 
 def mixtures(model: LanguageModel, texts: list[str | None], penalty: float, rounds: int) -> np.ndarray:
@@ -176,8 +194,8 @@ def mixtures(model: LanguageModel, texts: list[str | None], penalty: float, roun
     out = np.zeros((len(texts), len(model.langs)))
     keys, starts, doc = expressions(texts)
     if len(starts):
-        some, doc = np.unique(doc, return_inverse=True)
-        out[some] = proportions(model.words(keys, starts), doc, penalty, rounds)
+        some, first = np.unique(doc, return_index=True)
+        out[some] = proportions(model.words(keys, starts), first, penalty, rounds)
     return out
 
 
