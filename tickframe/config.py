@@ -14,13 +14,16 @@ class Ordering:
     which is right when there are many keys of modest size. With a number,
     every key is cut into position chunks of that many rows and bounded frames
     get a halo from their neighbours, so one hot key spreads over many tasks.
-    ``bucket`` is the time width used to count rows when positions are built.
+    ``bucket`` is the time width used to count rows when positions are built; a burst
+    within one bucket is spread by ``cuts``.
     """
 
     keys: tuple[str, ...] = ("symbol",)
     order: tuple[str, ...] = ("ts", "seq")
     chunk_rows: int | None = None
     bucket: str = "1 hour"
+    # Cuts of over-full buckets, made by ``operators.cells.even_cells``.
+    cuts: object = field(default=None, compare=False, hash=False, repr=False)
 
 
 @dataclass(frozen=True)
@@ -86,6 +89,13 @@ class ExecutionConfig:
     # row without a trade; "mtm": marked-to-market accounting.
     mode: str = "reference"
     carry_position: bool = False
+    # Sizes may change by less than min_trade_size from row to row: such targets are
+    # not traded, and the position is followed as the recurrence that makes it.
+    dead_band: bool = False
+
+    def __post_init__(self):
+        if self.dead_band and not self.min_trade_size > 0:
+            raise ValueError("a dead band needs min_trade_size above 0")
 
 
 @dataclass(frozen=True)

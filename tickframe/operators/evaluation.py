@@ -116,3 +116,78 @@ def prediction_distribution(df: DataFrame, *keys: str, pred: str = "prediction")
     grid = top.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("class"))
     return (grid.join(counts, [*keys, "class"], "left")
             .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint")))
+
+
+def evaluation_table(df: DataFrame, *keys: str, label: str = "label", pred: str = "prediction",
+                     cols=PROB_COLUMNS) -> DataFrame:
+    """EV1-7 in one pass over the rows: ``keys, metric, class, predicted, value``.
+
+    Rows are counted per (label, prediction) with mean and variance of the likeliest
+    class's and the true class's probability; everything else follows from those few
+    cells, whose variances are merged about their common mean. Metrics without a class have
+    a NULL ``class``; only ``confusion`` has ``predicted``. Rows without a label are
+    left out. The single tables above give the same values.
+    """
+    n, k = F.col("n"), list(keys)
+    own = F.element_at(F.array(*[F.col(c) for c in cols]), F.col(label).cast("int") + 1)
+    cells = df.filter(F.col(label).isNotNull()).groupBy(
+        *k, F.col(label).cast("int").alias("t"), F.col(pred).cast("int").alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(max_probability(cols)).alias("cm"),
+        F.var_pop(max_probability(cols)).alias("cv"), F.avg(own).alias("qm"), F.var_pop(own).alias("qv"))
+    all_, of_t = Window.partitionBy(*k), Window.partitionBy(*k, "t")
+    hit = F.col("t") == F.col("p")
+    cells = cells.withColumns({
+        "top": F.max("p").over(all_), "c0": F.sum(n * F.col("cm")).over(all_) / F.sum(n).over(all_),
+        "q0": F.sum(n * F.col("qm")).over(of_t) / F.sum(n).over(of_t)})
+    whole = cells.groupBy(*k).agg(
+        F.sum(n).alias("N"), (F.sum(F.when(hit, n).otherwise(0)) / F.sum(n)).alias("accuracy"),
+        F.max("c0").alias("avg_confidence"),
+        F.sqrt(F.sum(n * (F.col("cv") + (F.col("cm") - F.col("c0")) ** 2)) / F.sum(n)).alias("confidence_std"),
+        (F.sum(F.when(hit, n * F.col("cm"))) / F.sum(F.when(hit, n))).alias("avg_confidence_correct"),
+        (F.sum(F.when(~hit, n * F.col("cm"))) / F.sum(F.when(~hit, n))).alias("avg_confidence_incorrect"))
+
+    def part(c, support, tp, predicted, spread):
+        return F.struct(c.alias("c"), support.alias("support"), tp.alias("tp"), predicted.alias("predicted_n"),
+                        spread.alias("spread"), F.when(support > 0, F.col("q0")).alias("q0"))
+
+    zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
+    seen = cells.select(*k, "top", F.explode(F.concat(
+        F.array(part(F.col("t"), n, F.when(hit, n).otherwise(zero), zero,
+                     n * (F.col("qv") + (F.col("qm") - F.col("q0")) ** 2)),
+                part(F.col("p"), zero, zero, n, none)),
+        # every class up to the largest predicted is counted
+        F.transform(F.sequence(F.lit(0), F.greatest("top", F.lit(0))), lambda c: part(c, zero, zero, zero, none)),
+    )).alias("x")).select(*k, "top", "x.*")
+    per = seen.groupBy(*k, "c").agg(F.max("top").alias("top"), F.max("q0").alias("avg_prob"), *[
+        F.sum(x).alias(x) for x in ("support", "tp", "predicted_n", "spread")])
+    per = per.withColumns({
+        "precision": F.coalesce(F.try_divide("tp", "predicted_n"), none),
+        "recall": F.coalesce(F.try_divide("tp", "support"), none)})
+    per = per.withColumns({
+        "f1": F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), none),
+        "hit_rate": F.try_divide("tp", "support"), "std_prob": F.sqrt(F.try_divide("spread", "support"))})
+    known = (F.col("support") > 0) | (F.col("predicted_n") > 0)
+    scores = ("precision", "recall", "f1")
+    means = per.filter(known).groupBy(*k).agg(
+        *[F.avg(x).alias(f"macro_{x}") for x in scores],
+        *[(F.sum(F.col(x) * F.col("support")) / F.sum("support")).alias(f"weighted_{x}") for x in scores])
+
+    def long(rows: DataFrame, names, c=None) -> DataFrame:
+        pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+                                    for m in names])).alias("m")
+        return rows.select(*k, (F.lit(None).cast("int") if c is None else F.col(c)).alias("class"), pairs).select(
+            *k, "m.metric", "class", F.lit(None).cast("int").alias("predicted"), "m.value")
+
+    classes = F.array_union(F.collect_set("t"), F.collect_set("p"))
+    grid = cells.groupBy(*k).agg(classes.alias("cs"), F.map_from_entries(F.collect_list(
+        F.struct(F.struct("t", "p"), "n"))).alias("counts"))
+    grid = grid.withColumn("class", F.explode("cs")).withColumn("predicted", F.explode("cs"))
+    confusion = grid.select(*k, F.lit("confusion").alias("metric"), "class", "predicted", F.coalesce(F.try_element_at(
+        "counts", F.struct(F.col("class").alias("t"), F.col("predicted").alias("p"))), zero).cast("double").alias("value"))
+    return (long(whole.withColumnRenamed("N", "n"), ("n", "accuracy", "avg_confidence", "confidence_std",
+                                                      "avg_confidence_correct", "avg_confidence_incorrect"))
+            .unionByName(long(means, [f"{a}_{x}" for a in ("macro", "weighted") for x in scores]))
+            .unionByName(long(per.filter(known), (*scores, "support"), "c"))
+            .unionByName(long(per.filter("support > 0"), ("hit_rate", "avg_prob", "std_prob"), "c"))
+            .unionByName(long(per.filter("c BETWEEN 0 AND top"), ("predicted_n",), "c"))
+            .unionByName(confusion))

@@ -1,7 +1,7 @@
 """Position and cost ledger without a sequential loop (LED1-4, PRJ21).
 
 Every sizing the reference offers gives one constant unit per run, so targets
-are -u, 0, +u and the position after each row is the clamped target itself
+are -u, 0, +u and (without a dead band) the position after each row is the clamped target itself
 (or stays 0 for ever when u is below the minimum trade size). The recurrence
 then has a closed form: ``trade = c - lag(c)``, executed when non-zero, and
 running sums. Nothing is collected per key: in chunked mode rows are laid out once
@@ -23,7 +23,8 @@ NULL pnl on the next; running sums skip them.
 
 Sizes may vary from row to row as long as every change of the clamped target is
 either nothing or at least ``min_trade_size``. A smaller change would be held
-back, which makes the position a true recurrence; such input raises an error.
+back, which makes the position a true recurrence: ``ExecutionConfig(dead_band=True)``
+follows it by ``deadband.banded_positions``; without it such input raises an error.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ExecutionConfig, Ordering
+from .deadband import banded_positions
 from .ordered import CELL, apply_ordered, carry, cell_window, latest, with_cells
 
 LEDGER_COLUMNS = ("position", "trade_size", "transaction_cost", "slippage_cost",
@@ -75,37 +77,33 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
 
     # 1) clamped target; a unit below the minimum trade never leaves 0
     c = clamp_position(sig.cast("double") * F.col("position_size"), M)
-    c = F.when(c.isNull(), F.lit(None).cast("double")).when(
-        (F.abs(c) >= F.lit(m)) | (c == 0), c).otherwise(F.lit(0.0))
+    if not cfg.dead_band:
+        c = F.when(c.isNull(), F.lit(None).cast("double")).when(
+            (F.abs(c) >= F.lit(m)) | (c == 0), c).otherwise(F.lit(0.0))
     d = int(cfg.execution_delay) if cfg.mode == "mtm" else 0
     x = df.withColumn("_r", c)
-    if d > 1:
-        x = apply_ordered(x, o_pos, lambda f, w: f.withColumn("_r", F.lag("_r", d - 1).over(w)),
-                          lookback=d - 1)
+    ahead = d if cfg.dead_band else d - 1       # the closed form looks one row back by itself
+    if ahead > 0:
+        x = apply_ordered(x, o_pos, lambda f, w: f.withColumn("_r", F.lag("_r", ahead).over(w)), lookback=ahead)
     d = min(d, 1)
 
     # 2) position before and after each row, price change and first row of the series;
     # one carry serves both unless positions run on across folds
-    x = with_cells(x, o_pos)
-    if d:   # a cell's first row looks two rows back: past the last row of the cell before
-        x = x.withColumn("_b", _last_target(o_pos, 1))
-    if o_pos == restart:
-        x = carry(x, restart, {**_target_totals(o_pos, d), **_price_totals(restart, px)},
-                  lambda t, w: _prices_before(_targets_before(t, w, d), w), {**TARGETS_IN, **PRICES_IN})
-        x = _price_steps(_positions(x, o_pos, d), restart, px)
-    else:
-        x = carry(x, o_pos, _target_totals(o_pos, d), lambda t, w: _targets_before(t, w, d), TARGETS_IN)
-        x = with_cells(_positions(x, o_pos, d), restart)
+    if cfg.dead_band:
+        x = with_cells(banded_positions(x, o_pos, m, "_r"), restart)
         x = carry(x, restart, _price_totals(restart, px), _prices_before, PRICES_IN)
         x = _price_steps(x, restart, px)
+    else:
+        x = _closed_form(x, o_pos, restart, px, d)
     x = x.drop("_b", *TARGETS_IN, *PRICES_IN)
     trade = F.col("_c") - F.col("_prev")
-    # the closed form needs every change of target to be none or a whole trade; a
-    # smaller one would be held back and change all later rows
-    small = (F.abs(trade) > F.lit(1e-9)) & (F.abs(trade) < F.lit(m))
-    trade = F.when(small, F.raise_error(F.lit(
-        "the target position changes by less than min_trade_size: sizes that vary this "
-        "little between rows need min_trade_size=0")).cast("double")).otherwise(trade)
+    if not cfg.dead_band:
+        # the closed form needs every change of target to be none or a whole trade; a
+        # smaller one would be held back and change all later rows
+        small = (F.abs(trade) > F.lit(1e-9)) & (F.abs(trade) < F.lit(m))
+        trade = F.when(small, F.raise_error(F.lit(
+            "a target moves by less than the smallest trade, which holds it back: "
+            "ExecutionConfig(dead_band=True) follows such sizes")).cast("double")).otherwise(trade)
     executed = (F.abs(trade) >= F.lit(m)) if m > 0 else F.lit(True)
     x = x.withColumns({"_trade": trade, "executed": executed})
     tc, sc, tot = trade_cost(F.col("_trade"), px, cfg)
@@ -137,6 +135,21 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
     return x.drop("_r", "_c", "_prev", "_dpx", "_first", "_trade", CELL)
 
 
+def _closed_form(x: DataFrame, o_pos: Ordering, restart: Ordering, px: Column, d: int) -> DataFrame:
+    """Positions as the last target, prices and series starts, by one carry or two."""
+    x = with_cells(x, o_pos)
+    if d:   # a cell's first row looks two rows back: past the last row of the cell before
+        x = x.withColumn("_b", _last_target(o_pos, 1))
+    if o_pos == restart:
+        x = carry(x, restart, {**_target_totals(o_pos, d), **_price_totals(restart, px)},
+                  lambda t, w: _prices_before(_targets_before(t, w, d), w), {**TARGETS_IN, **PRICES_IN})
+        return _price_steps(_positions(x, o_pos, d), restart, px)
+    x = carry(x, o_pos, _target_totals(o_pos, d), lambda t, w: _targets_before(t, w, d), TARGETS_IN)
+    x = with_cells(_positions(x, o_pos, d), restart)
+    x = carry(x, restart, _price_totals(restart, px), _prices_before, PRICES_IN)
+    return _price_steps(x, restart, px)
+
+
 def _last_target(o: Ordering, rows_ago: int) -> Column:
     """The last non-null target of the cell's rows up to ``rows_ago`` rows ago."""
     return F.last("_r", ignorenulls=True).over(

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MetricsConfig, Ordering
-from ..functions import frames as fr
-from .ordered import apply_ordered, prefix_scan
+from .ordered import prefix_scan
 from .quantiles import exact_quantiles
+from .sliding import sliding_frames
 
 METRIC_NAMES = (
     "total_pnl", "total_trades", "final_equity", "volatility", "downside_deviation",
@@ -120,20 +120,15 @@ def backtest_metrics(ledger: DataFrame, cfg: MetricsConfig = MetricsConfig(),
 
 def rolling_metrics(ledger: DataFrame, window: int = 252, cfg: MetricsConfig = MetricsConfig(),
                     o: Ordering = Ordering()) -> DataFrame:
-    """AGG18 / WIN23-26: rolling return, volatility, Sharpe and drawdown."""
-    sq = math.sqrt(cfg.trading_days)
-
-    def build(f: DataFrame, w):
-        rr = fr.rolling_sum("pnl", w, window)
-        rv = fr.rolling_std("pnl", w, window) * F.lit(sq)
-        f = f.withColumns({"rolling_return": rr, "rolling_volatility": rv,
-                           "_rmax": fr.rolling_max("cumulative_pnl", w, window)})
-        excess = F.col("rolling_return") - F.lit(cfg.risk_free_rate * (window / cfg.trading_days))
-        return f.withColumns({
-            "rolling_sharpe": F.try_divide(excess, F.col("rolling_volatility")),
-            "rolling_drawdown": F.col("cumulative_pnl") - F.col("_rmax"),
-        }).drop("_rmax")
-    return apply_ordered(ledger, o, build, lookback=window - 1)
+    """AGG18 / WIN23-26: rolling return, volatility, Sharpe and drawdown. The time does not
+    depend on the width of the window (see ``sliding``)."""
+    f = sliding_frames(ledger, o, window, "pnl", "cumulative_pnl", "rolling_return", "_std", "_rmax")
+    excess = F.col("rolling_return") - F.lit(cfg.risk_free_rate * (window / cfg.trading_days))
+    f = f.withColumn("rolling_volatility", F.col("_std") * F.lit(math.sqrt(cfg.trading_days)))
+    return f.withColumns({
+        "rolling_sharpe": F.try_divide(excess, F.col("rolling_volatility")),
+        "rolling_drawdown": F.col("cumulative_pnl") - F.col("_rmax"),
+    }).drop("_rmax", "_std")
 
 
 # Sections and order of the reference's text report.

@@ -34,6 +34,9 @@ POS = "pos"          # 0-based position of a row inside its key
 _CH = "_chunk"       # home chunk of a row
 _K = "_k"            # chunk a (possibly halo) copy belongs to
 _BUCKET = "_bucket"
+_CUTS = "_cuts"     # order values at which a bucket is cut
+#: Buckets with cuts that are broadcast; more are joined.
+CUT_BUCKETS = 10_000
 CELL = "_cell"      # series and time bucket of a row
 
 
@@ -65,20 +68,37 @@ def with_positions(df: DataFrame, o: Ordering) -> DataFrame:
         return df
     if o.chunk_rows is None:
         return df.withColumn(POS, F.row_number().over(keyed_window(o)) - F.lit(1))
-    from .timeseries import floor_time, interval_seconds
-    t = o.order[0]
-    bucketed = df.withColumn(_BUCKET, floor_time(F.col(t), interval_seconds(o.bucket)))
-    counts = bucketed.groupBy(*o.keys, _BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    x = bucketed(df, o)
+    counts = x.groupBy(*o.keys, _BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*o.keys).orderBy(_BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.select(*o.keys, _BUCKET,
                             F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
     local = F.row_number().over(keyed_window(o, _BUCKET)) - F.lit(1)
-    return (join_keys(bucketed, offsets, [*o.keys, _BUCKET])
+    return (join_keys(x, offsets, [*o.keys, _BUCKET])
             .withColumn(POS, F.col("_off") + local)
             .drop(_BUCKET, "_off"))
 
 
+def bucketed(df: DataFrame, o: Ordering) -> DataFrame:
+    """Add the time bucket of each row: in order, every row of a bucket comes after every
+    row of an earlier one. With cuts a bucket is a struct of the time and how many cuts
+    of it the row has passed."""
+    from .timeseries import floor_time, interval_seconds
+    x = df.withColumn(_BUCKET, floor_time(F.col(o.order[0]), interval_seconds(o.bucket)))
+    if o.cuts is None:
+        return x
+    keys = [c for c in o.cuts.columns if c not in ("bucket", _CUTS)]
+    cuts = o.cuts.withColumnRenamed("bucket", _BUCKET)
+    if o.cuts.limit(CUT_BUCKETS + 1).count() <= CUT_BUCKETS:
+        cuts = F.broadcast(cuts)
+    x = join_keys(x, cuts, [*keys, _BUCKET], "left")
+    row = F.struct(*o.order)
+    passed = F.coalesce(F.size(F.filter(_CUTS, lambda c: c <= row)), F.lit(0))
+    return x.withColumn(_BUCKET, F.struct(F.col(_BUCKET).alias("bucket"), F.when(
+        F.col(_CUTS).isNull(), F.lit(0)).otherwise(passed).alias("part"))).drop(_CUTS)
+
+
 def apply_ordered(df: DataFrame, o: Ordering, build: Callable[[DataFrame, WindowSpec], DataFrame],
                   lookback: int = 0, lookahead: int = 0, dense_pos: bool = False) -> DataFrame:
     """Run ``build(df, w)`` with ``w`` ordering each series.
@@ -123,9 +143,7 @@ def with_cells(df: DataFrame, o: Ordering) -> DataFrame:
     """
     if o.chunk_rows is None:
         return df
-    from .timeseries import floor_time, interval_seconds
-    bucket = floor_time(F.col(o.order[0]), interval_seconds(o.bucket))
-    return df.withColumn(CELL, F.struct(*o.keys, bucket.alias(_BUCKET)))
+    return bucketed(df, o).withColumn(CELL, F.struct(*o.keys, _BUCKET)).drop(_BUCKET)
 
 
 def cell_window(o: Ordering) -> WindowSpec:

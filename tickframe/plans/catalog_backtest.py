@@ -47,10 +47,11 @@ R1 = f"((lead(mid_price, 1) OVER ({W})) / NULLIF(mid_price, 0) - {dlit(1.0)})"
 
 
 def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: int = 1,
-               px_part: str | None = None) -> str:
+               px_part: str | None = None, band: str | None = None) -> str:
     """Oracle ledger: gaps-and-islands over executed rows (independent of the
     prefix-difference form the Spark code uses). ``px_part``: where prices and sums
-    restart, if not where the position does."""
+    restart, if not where the position does. ``band``: the
+    targets as SQL, followed row by row under the dead band."""
     px_part = px_part or part
     wp = f"PARTITION BY {px_part} ORDER BY ts, seq"
     run_p = f"({wp} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -63,9 +64,21 @@ def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: i
         c = f"lag({c}, {delay}) OVER ({w})"
     tc = f"abs(c - prev) * mid_price * {dlit(0.001)}"
     sc = f"abs(c - prev) * mid_price * {dlit(0.0005)}"
-    base = f"""
+    held = f"""
   s0 AS (SELECT *, {c} AS c_raw FROM ({src}) z),
-  s1 AS (SELECT *, COALESCE(c_raw, last_value(c_raw IGNORE NULLS) OVER {run}, {dlit(0.0)}) AS c FROM s0),
+  s1 AS (SELECT *, COALESCE(c_raw, last_value(c_raw IGNORE NULLS) OVER {run}, {dlit(0.0)}) AS c FROM s0),"""
+    if band:
+        raw = f"greatest({dlit(-10.0)}, least({dlit(10.0)}, {band}))"
+        raw = f"CASE WHEN signal IS NULL THEN NULL ELSE {raw} END"
+        if mode == "mtm":
+            raw = f"lag({raw}, {delay}) OVER ({w})"
+        held = f"""
+  s0 AS (SELECT *, {raw} AS c_raw, row_number() OVER ({w}) AS rn FROM ({src}) z),
+  walk AS (SELECT {part}, rn, CASE WHEN abs(c_raw) >= {dlit(0.1)} THEN c_raw ELSE {dlit(0.0)} END AS c FROM s0 WHERE rn = 1
+           UNION ALL SELECT s0.{part}, s0.rn, CASE WHEN abs(s0.c_raw - k.c) >= {dlit(0.1)} THEN s0.c_raw ELSE k.c END
+           FROM walk k JOIN s0 ON s0.{part} = k.{part} AND s0.rn = k.rn + 1),
+  s1 AS (SELECT s0.* EXCLUDE (rn), k.c FROM s0 JOIN walk k ON s0.{part} = k.{part} AND s0.rn = k.rn),"""
+    base = f"""{held}
   s2 AS (SELECT *, COALESCE(lag(c) OVER ({w}), {dlit(0.0)}) AS prev,
                 mid_price - lag(mid_price) OVER ({wp}) AS dpx,
                 row_number() OVER ({wp}) = 1 AS first_row FROM s1),
@@ -73,7 +86,7 @@ def ledger_sql(src: str, part: str = "symbol", mode: str = "reference", delay: i
                 {tc} AS tc, {sc} AS sc, ({tc}) + ({sc}) AS tot FROM s2)"""
     z = dlit(0.0)
     if mode == "reference":
-        return f"""WITH {base},
+        return f"""WITH RECURSIVE {base},
   s4 AS (SELECT *,
     CASE WHEN executed THEN c ELSE {z} END AS position,
     CASE WHEN executed THEN c - prev ELSE {z} END AS trade_size,
@@ -86,7 +99,7 @@ SELECT * EXCLUDE (island, c_raw, c, prev, dpx, first_row, tc, sc, tot),
   CASE WHEN executed THEN sum(pnl) OVER (PARTITION BY {px_part}, island ORDER BY ts, seq
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) ELSE {z} END AS cumulative_pnl
 FROM s4"""
-    return f"""WITH {base},
+    return f"""WITH RECURSIVE {base},
   s4 AS (SELECT *, c AS position,
     CASE WHEN executed THEN c - prev ELSE {z} END AS trade_size,
     CASE WHEN executed THEN tc ELSE {z} END AS transaction_cost,

@@ -8,13 +8,16 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FeatureConfig, LabelConfig
+from ..config import FeatureConfig, LabelConfig, Ordering
 from ..operators import labels as lb
 from ..operators import ledger as led
 from ..operators import metrics as mx
+from ..operators import signals as sg
 from ..operators import timeseries as tsx
+from ..operators.cells import even_cells
+from ..session import scratch_table
 from ..sources.book import load_book
-from .catalog_backtest import EXE, LEDGER_COLS, MTM, SIGNALS_SRC, ledger_sql, signals
+from .catalog_backtest import EXE, LEDGER_COLS, MTM, SIG, SIGNALS_SRC, ledger_sql, signals
 from .defaults import ORDERING
 from .registry import REGISTRY, register
 from .sqltext import W, dlit
@@ -55,6 +58,24 @@ register("ledger_varying", "symbol seq signal " + LEDGER_COLS.replace(" cumulati
     f"(abs(CAST(signal AS DOUBLE)) * {dlit(1.0)})",
     f"({dlit(1.0)} + CAST(seq % 3 AS DOUBLE) / {dlit(2.0)})"))(_varying)
 
+# sizes that vary continuously: changes below the minimum trade of 0.1 are held back
+_BAND_SIZE = f"({dlit(1.0)} + sqrt(prob_up) / {dlit(3.0)})"
+_BAND = {"": replace(EXE, dead_band=True), "_mtm": replace(MTM, dead_band=True)}
+
+
+def _banded(spark: SparkSession, sf: str, cfg, ordering) -> DataFrame:
+    s = signals(spark, sf).withColumn("position_size", F.lit(1.0) + F.sqrt("prob_up") / 3)
+    return led.execute_trades(s, cfg, ordering)
+
+
+for _name, _cfg, _ordering in (("ledger_deadband", _BAND[""], SMALL), ("ledger_deadband_mtm", _BAND["_mtm"], SMALL),
+                               ("ledger_deadband_keyed", _BAND[""], replace(SMALL, chunk_rows=None))):
+    # a difference of prefix sums of such sizes may end in either half of a sixth decimal
+    _spec = LEDGER_COLS if _cfg.mode == "mtm" else LEDGER_COLS.replace(" cumulative_pnl:d", "")
+    register(_name, "symbol seq signal " + _spec,
+             ledger_sql(SIGNALS_SRC, mode=_cfg.mode, band=f"CAST(signal AS DOUBLE) * {_BAND_SIZE}"))(
+        lambda spark, sf, c=_cfg, o=_ordering: _banded(spark, sf, c, o))
+
 # the position carries from fold to fold, prices and sums restart in each; folds of 500
 # and 100 rows, so that every symbol has several
 _CARRY = replace(EXE, carry_position=True)
@@ -68,3 +89,29 @@ register("walk_forward_carry", "symbol fold seq signal " + LEDGER_COLS,
 
 register("sort_by_time", "symbol ts seq mid_price:d", "SELECT * FROM book")(
     lambda spark, sf: tsx.sort_by_time(load_book(spark, sf), ORDERING))
+
+
+# a burst: the whole time range squeezed into one bucket, whose cells are evened out
+def _burst(spark: SparkSession, sf: str) -> tuple[DataFrame, Ordering]:
+    b = load_book(spark, sf)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    squeezed = start + F.make_dt_interval(secs=F.timestamp_diff("SECOND", start, F.col("ts")) / 1000)
+    b = scratch_table(b.withColumn("ts", squeezed), "burst")
+    return b, even_cells(b, SMALL, rows=400)
+
+
+def _burst_summary(spark: SparkSession, sf: str) -> DataFrame:
+    b, o = _burst(spark, sf)
+    f = lb.labelled_features(b, FeatureConfig(), LabelConfig(), o)
+    return f.groupBy("symbol", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("weighted_imbalance").alias("mean_weighted_imbalance"),
+        F.avg("ofi_aggregate_rolling").alias("mean_ofi_rolling"))
+
+
+def _burst_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    b, o = _burst(spark, sf)
+    return led.execute_trades(sg.generate_signals(b, SIG, "symbol"), EXE, o)
+
+
+register("label_summary_burst_chunked", REGISTRY["label_summary"].spec, REGISTRY["label_summary"].sql)(_burst_summary)
+register("ledger_reference_burst_chunked", REGISTRY["ledger_reference"].spec, REGISTRY["ledger_reference"].sql)(_burst_ledger)
