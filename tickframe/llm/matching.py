@@ -11,15 +11,19 @@ import numpy as np
 
 from .kernels import BASE, BYTE_VALUE, U, grams, mix64, ranges, row_of, spans_hash, words
 
-KEY_BYTES = 5
+KEY_BYTES, PLACE_BYTES = 5, 2
+#: An automaton holds about this many reference words; more make several, one after the other.
+AUTOMATON_WORDS = 1 << 16
 HIGH, LOW = U(0xFFFFFFFF00000000), U(0xFFFFFFFF)
 
 
 class Words:
     """Symbols are words (runs without space and the controls 9 to 13)."""
     n, k = 35, 18
-    #: Symbols that meet in a shard on account of one smallest id.
-    load = 1 << 20
+    #: Symbols of a text that are dealt together, and their smallest part.
+    block, unit = 1024, 64
+    #: Symbols that meet in a shard on account of one block.
+    load = 1 << 18
 
     @staticmethod
     def places(data, offs):
@@ -47,7 +51,8 @@ class Words:
 class Bytes:
     """Symbols are bytes."""
     n, k = 50, 24
-    load = 4 << 20
+    block, unit = 4096, 256
+    load = 1 << 20
 
     @staticmethod
     def places(data, offs):
@@ -96,30 +101,32 @@ def split_key(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return ((h & U(0xFFFFFF)) % U(buckets)).astype(np.int32), h >> U(24)
 
 
-def pack(key: np.ndarray) -> bytes:
-    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+def pack(key: np.ndarray, size: int = KEY_BYTES) -> bytes:
+    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
 
 
-def unpack(raw: bytes) -> np.ndarray:
-    b = np.frombuffer(raw, np.uint8).reshape(-1, KEY_BYTES)
+def unpack(raw: bytes, size: int = KEY_BYTES) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8).reshape(-1, size)
     out = np.zeros((len(b), 8), np.uint8)
-    out[:, :KEY_BYTES] = b
+    out[:, :size] = b
     return out.view("<u8").ravel()
 
 
 def anchor_blobs(kind, data, offs, ids: np.ndarray, buckets: int, most: int):
-    """(bucket, ids, counts, keys) of the anchors of some rows; a row names an
-    anchor at most ``most`` times."""
+    """(bucket, ids, counts, keys, places) of the anchors of some rows; a row names an
+    anchor at most ``most`` times. A place is the number of the anchor's unit in its
+    row (modulo 65536: it only says what to deal together)."""
     row, starts, ends = kind.places(data, offs)
     pos, h = anchors(kind.values(data, starts, ends), row, kind.n, kind.k)
     b, key = split_key(h, buckets)
     r = row[pos]
+    place = ((pos - np.searchsorted(row, r)) // kind.unit) & 0xFFFF
     order = np.lexsort((key, r, b))
-    b, key, r = b[order], key[order], r[order]
+    b, key, r, place = b[order], key[order], r[order], place[order]
     keep = np.ones(len(b), bool)
     if len(b) > most:
         keep[most:] = (b[most:] != b[:-most]) | (r[most:] != r[:-most]) | (key[most:] != key[:-most])
-    b, key, r = b[keep], key[keep], r[keep]
+    b, key, r, place = b[keep], key[keep], r[keep], place[keep]
     if len(b) == 0:
         return
     first = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (r[1:] != r[:-1])]))
@@ -127,37 +134,40 @@ def anchor_blobs(kind, data, offs, ids: np.ndarray, buckets: int, most: int):
     of_bucket = np.flatnonzero(np.concatenate([[True], np.diff(b[first]) != 0]))
     for lo, hi in zip(of_bucket, np.append(of_bucket[1:], len(first))):
         a, z = first[lo], first[hi] if hi < len(first) else len(b)
-        yield int(b[a]), ids[r[first[lo:hi]]].tobytes(), size[lo:hi].astype(np.int32).tobytes(), pack(key[a:z])
+        yield (int(b[a]), ids[r[first[lo:hi]]].tobytes(), size[lo:hi].astype(np.int32).tobytes(), pack(key[a:z]),
+               pack(place[a:z], PLACE_BYTES))
 
 
-def shared_anchors(kind, ids: np.ndarray, keys: np.ndarray, by_id: bool, shards: int, hot: int, parts: int):
-    """Of a bucket's (id, key) pairs those whose key is shared (by several ids if
+def shared_anchors(kind, ids: np.ndarray, keys: np.ndarray, places: np.ndarray, by_id: bool, shards: int, parts: int):
+    """Of a bucket's (id, key, place) those whose key is shared (by several ids if
     ``by_id``, else named more than once), with the shard they meet in: (part, ids,
-    keys, shards), ids dealt over ``parts``. The shard is that of the smallest id, so
-    that a row's neighbouring anchors shared with one row meet in one place; keys in
-    more than ``hot`` pairs are dealt by key.
-
-    The ``parts`` buckets hold equal shares of the anchors by hash. Each lets a
-    smallest id bring at most its share of ``kind.load`` symbols to one shard (an
-    anchor stands for about (n - k + 2) / 2 symbols); beyond it the id's keys are
-    dealt over as many shards as their stretches need when no two are neighbours."""
+    keys, shards), ids dealt over ``parts``.
+
+    The shard is that of a stretch of the row with the smallest id: its block of
+    ``kind.block`` symbols, whatever the number of rows that share it, so that
+    neighbouring anchors meet in one place and a row's stretches are as many as its
+    blocks. Where so many rows share it that their blocks exceed ``kind.load``
+    symbols, the stretch is a fourth of the block, then a sixteenth (one unit), and
+    beyond that the anchor by itself."""
     order = np.lexsort((ids, keys))
     i, k = ids[order], keys[order]
-    new = np.concatenate([[True], k[1:] != k[:-1]])
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     size = np.diff(np.append(first, len(k)))
     if by_id:
         last = first + size - 1
         some = i[first] != i[last]
     else:
         some = size > 1
-    _, of_least = np.unique(i[first], return_inverse=True)
-    pairs = np.bincount(of_least, np.where(some & (size <= hot), size, 0))[of_least]
-    share = kind.load / parts
-    heavy = pairs * (kind.n - kind.k + 2) / 2 > share
-    places = np.where(heavy, np.ceil(pairs * (2 * kind.n - kind.k) / share), 1).astype(U)
-    place = mix64(k[first] + U(3)) % places
-    home = np.where(size > hot, mix64(k[first] + U(1)), mix64(i[first].view(U) + place * U(BASE)))
+    # the place of an anchor in the row with the smallest id: its first there
+    least = np.minimum.reduceat(np.where(i == np.repeat(i[first], size), places[order], 1 << 16), first) \
+        if len(first) else first
+    home = mix64(k[first] + U(1))
+    stretch = kind.unit
+    while stretch <= kind.block:
+        fits = size * stretch <= kind.load
+        at = (least // (stretch // kind.unit)).astype(U) * U(64) + U(stretch.bit_length())
+        home = np.where(fits, mix64(mix64(i[first].view(U)) + at * U(BASE)), home)
+        stretch *= 4
     shard = (home % U(shards)).astype(np.int32)
     take = np.repeat(some, size)
     i, k, s = i[take], k[take], np.repeat(shard, size)[take]
@@ -339,12 +349,29 @@ def repeated_words(bodies: list[bytes], starts: np.ndarray, n: int):
     order = at[np.argsort(h[at], kind="stable")]
     if len(order) == 0:
         return
-    new = np.concatenate([[True], h[order][1:] != h[order][:-1]])
-    first = np.flatnonzero(new)
-    often = np.diff(np.append(first, len(order))) > 1
-    maybe, chosen = np.zeros(len(token), bool), np.zeros(len(token), bool)
-    maybe[order[np.repeat(often, np.diff(np.append(first, len(order))))]] = True
-    chosen[order[first[often]]] = True
+    first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+    count = np.diff(np.append(first, len(order)))
+    often = count > 1
+    # a window of the reference, the first of its hash, and all windows that may equal it
+    chosen = np.sort(order[first[often]])
+    who = np.full(len(token), -1, np.int64)
+    many = np.repeat(often, count)
+    who[order[many]] = np.repeat(order[first], count)[many]
+    flag = np.zeros(len(token), bool)
+    # the reference in parts of bounded size: each has an automaton of its own, and only
+    # the windows that may equal one of the part are streamed through it
+    for lo in range(0, len(chosen), AUTOMATON_WORDS):
+        part = chosen[lo:lo + AUTOMATON_WORDS]
+        mine = np.zeros(len(token), bool)
+        mine[part] = True
+        asked = (who >= part[0]) & (who <= part[-1])
+        flag |= _repeated(token, mine, asked, n)
+    yield from covered(flag, seg_of, seg_first, starts, n)
+
+
+def _repeated(token: np.ndarray, chosen: np.ndarray, asked: np.ndarray, n: int) -> np.ndarray:
+    """Which of the ``asked`` windows equal a ``chosen`` one that occurs more than once
+    among them: by the matching statistics of the automaton of the chosen windows."""
     ref, base = Automaton(), 0
     for lo, hi in zip(*_runs(chosen)):
         part = token[lo:hi - 1 + n].tolist()
@@ -352,7 +379,7 @@ def repeated_words(bodies: list[bytes], starts: np.ndarray, n: int):
         base += len(part)
     found = np.full(len(token), -1, np.int64)
     known: dict[bytes, np.ndarray] = {}
-    for lo, hi in zip(*_runs(maybe)):
+    for lo, hi in zip(*_runs(asked)):
         part = token[lo:hi - 1 + n]
         name = part.tobytes()             # equal stretches are streamed once
         if name not in known:
@@ -360,9 +387,8 @@ def repeated_words(bodies: list[bytes], starts: np.ndarray, n: int):
         found[lo:hi] = known[name]
     hit = found >= 0
     count = np.bincount(found[hit], minlength=max(base, 1))
-    flag = hit.copy()
-    flag[hit] = count[found[hit]] > 1
-    yield from covered(flag, seg_of, seg_first, starts, n)
+    hit[hit] = count[found[hit]] > 1
+    return hit
 
 
 # ------------------------------------------------------------------ bytes: run-length BWT
