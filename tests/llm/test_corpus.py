@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
-from tickframe.llm import chat, classify, decontam, mixing, warc
+from tickframe.llm import chat, classify, decontam, exact, mixing, simhash, warc
 from tickframe.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -149,7 +149,8 @@ def test_layouts_are_told_apart_by_fingerprint(spark):
         (2, None, "do", "with", "out", None, None, None),
         (3, None, None, None, None, [("user", "q"), ("assistant", None)], None, None),
         (4, None, None, None, None, None, [("human", "h"), ("gpt", "g"), ("tool", "t")], None),
-        (5, None, "odd", None, None, None, None, None)],
+        (5, None, "odd", None, None, None, None, None),
+        (6, None, None, None, None, None, None, None)],
         "id long, prompt string, instruction string, input string, output string, "
         "messages array<struct<role:string,content:string>>, "
         "conversations array<struct<from:string,value:string>>, completion string")
@@ -160,11 +161,64 @@ def test_layouts_are_told_apart_by_fingerprint(spark):
                    (2, "instruction/input"): [("user", "do\n\nwith"), ("assistant", "out")],
                    (3, "messages"): [("user", "q"), ("assistant", "")],
                    (4, "from/value"): [("user", "h"), ("assistant", "g"), ("tool", "t")],
-                   (5, None): [(None, None)]}
+                   (5, "instruction"): [("user", "odd"), ("assistant", "")],
+                   (6, None): [(None, None)]}
     with pytest.raises(ValueError, match="no declared layout"):
         chat.to_turns(spark.createDataFrame([(1,)], "id long"))
 
 
+def test_null_answers_and_turn_rows_among_others(spark):
+    def turns(df):
+        return sorted(((r.conv_id, r.turn, r.role, r.text, r.layout) for r in chat.to_turns(df).collect()), key=str)
+
+    one = spark.createDataFrame([(1, "x", None, "e"), (2, None, "y", "e"), (3, None, None, "e")],
+                                "id long, prompt string, completion string, _t string")
+    p = "prompt/completion"
+    assert turns(one) == sorted([(1, 0, "user", "x", p), (1, 1, "assistant", "", p), (2, 0, "user", "", p),
+                                 (2, 1, "assistant", "y", p), (3, 0, "user", "", p), (3, 1, "assistant", "", p)], key=str)
+    both = spark.createDataFrame([(None, 7, 0, "user", "hi", None), (None, 7, 1, "assistant", None, None),
+                                  (9, None, None, None, None, [("user", "q")]), (10, None, None, None, None, [])],
+                                 "id long, conv_id long, turn int, role string, text string, "
+                                 "messages array<struct<role:string,content:string>>")
+    assert turns(both) == sorted([(7, 0, "user", "hi", "turn rows"), (7, 1, "assistant", "", "turn rows"),
+                                  (9, 0, "user", "q", "messages"), (10, None, None, None, "messages")], key=str)
+
+
+# ------------------------------------------------------------------ columns of any name
+
+@pytest.mark.parametrize("name", ["_key", "_id", "_len", "_pre", "_hash", "_n", "_keep", "_KEY", "id", "t", "fp", "row",
+                                  "shard", "component_id", "text_len", "keep_id", "kept", "copies", "_text", "score"])
+def test_row_keeping_stages_take_any_column_name(spark, name):
+    rows = [(3, "same text here", "a"), (3, "same text here", "a"), (1, "same text here", "b"), (2, None, "c"),
+            (4, "another text altogether", "d")]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, `{name}` string")
+    got = {(r[0], r[1], r[2]) for r in exact.drop_exact_copies(df).collect()}
+    assert got == {rows[0], rows[3], rows[4]}
+    near = simhash.drop_near_copies(df)
+    assert near.columns == df.columns and {(r[0], r[2]) for r in near.collect()} == {(1, "b"), (2, "c"), (4, "d")}
+
+
+def test_radius_finds_similar_windows():
+    """Of windows whose shingles are 0.8 or more alike, how many fingerprints are in reach."""
+    import numpy as np
+    from tickframe.llm import kernels
+    rng, seen, close = np.random.default_rng(3), 0, 0
+    for _ in range(400):
+        n = int(rng.integers(12, 80))
+        own = rng.integers(0, 2**63, n).astype(np.uint64)
+        index = kernels.ItemIndex([], 5, decontam.RADIUS, decontam.BLOCKS, 0.8)
+        other = own.copy()
+        other[rng.integers(0, n, int(rng.integers(1, 3)))] = rng.integers(0, 2**63, 1).astype(np.uint64)
+        a, b = index.weigh(own), index.weigh(other)
+        both = sum(min(v, b.get(k, 0)) for k, v in a.items())
+        if both / (2 * (n - 4) - both) < 0.8:
+            continue
+        seen += 1
+        fps = [int(kernels.majority(x, np.array([0]))[0]) for x in (own, other)]
+        close += (fps[0] ^ fps[1]).bit_count() <= decontam.RADIUS
+    assert seen > 100 and close >= 0.99 * seen
+
+
 # ------------------------------------------------------------------ decontamination
 
 def plain(t):

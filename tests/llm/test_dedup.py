@@ -83,7 +83,9 @@ def test_bytes_match_brute_force(spark):
 
 
 def test_hot_anchors_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "HOT", 3)
+    monkeypatch.setattr(matching.Bytes, "load", 3)         # every anchor is dealt by itself
+    monkeypatch.setattr(matching.Words, "load", 3)
+    monkeypatch.setattr(matching, "AUTOMATON_WORDS", 50)   # and a shard needs several automata
     rows = corpus(9)
     assert sorted((r.doc_id, r.n, r.n_removed, r.kept) for r in
                   repeats.remove_repeated_words(docs(spark, rows)).collect()) == sorted(brute_words(rows))
@@ -91,26 +93,64 @@ def test_hot_anchors_match_brute_force(spark, monkeypatch):
                   repeats.remove_repeated_bytes(docs(spark, rows)).collect()) == sorted(brute_bytes(rows))
 
 
-def test_copies_of_a_long_text_are_dealt_over_shards():
+def stretches(kind, texts, buckets=4, shards=64):
+    """Per shard the stretches that texts of ids 0.. send there, as (id, symbols)."""
     import numpy as np
-    kind, parts, shards = matching.Bytes, 8, 32
-    def load(copies, n_keys):
-        """Most symbols in a shard: every key of each bucket named by all copies."""
-        got = np.zeros(shards)
-        for b in range(parts):
-            keys = np.random.default_rng(b).integers(0, 1 << 40, n_keys // parts).astype(np.uint64)
-            ids = np.tile(np.arange(copies), len(keys))
-            rows = list(matching.shared_anchors(kind, ids, np.repeat(keys, copies), True, shards, 1000, parts))
-            pairs = sum((list(zip(np.frombuffer(i, np.int64), matching.unpack(k), np.frombuffer(s, np.int32)))
-                         for _, i, k, s in rows), [])
-            assert len(pairs) == len(ids)
-            where = {}
-            assert all(where.setdefault(k, s) == s for _, k, s in pairs)      # a key meets in one shard
-            got += np.bincount([s for _, _, s in pairs], minlength=shards)
-        return got
-    assert (load(90, 400) > 0).sum() == 1                  # light: neighbours stay together
-    heavy = load(900, 800)                                 # 10 MB of text
-    assert (heavy > 0).sum() > 8 and heavy.max() < heavy.sum() / 5
+    blobs, of_id = {}, {}
+    for i, t in enumerate(texts):
+        raw = np.frombuffer(t, np.uint8)
+        for b, *rest in matching.anchor_blobs(kind, raw, np.array([0, len(raw)]), np.array([i]), buckets, 1):
+            blobs.setdefault(b, []).append(rest)
+    for b, rows in blobs.items():
+        ids = np.concatenate([np.repeat(np.frombuffer(i, np.int64), np.frombuffer(c, np.int32)) for i, c, _, _ in rows])
+        keys = np.concatenate([matching.unpack(k) for _, _, k, _ in rows])
+        places = np.concatenate([matching.unpack(p, matching.PLACE_BYTES).astype(np.int64) for *_, p in rows])
+        for _, i, k, s in matching.shared_anchors(kind, ids, keys, places, True, shards, buckets):
+            for x, name, shard in zip(np.frombuffer(i, np.int64), matching.unpack(k), np.frombuffer(s, np.int32)):
+                of_id.setdefault(int(x), []).append(((int(name) << 24) | b, int(shard)))
+    out = {}
+    for i, t in enumerate(texts):
+        names = np.array([n for n, _ in of_id.get(i, [])], np.uint64).tobytes()
+        where = np.array([s for _, s in of_id.get(i, [])], np.int32).tobytes()
+        raw = np.frombuffer(t, np.uint8)
+        for s, _, _, body in matching.segments(kind, raw, np.array([0, len(raw)]), [names], [where], buckets):
+            out.setdefault(s, []).append((i, len(body)))
+    return out
+
+
+@pytest.mark.parametrize("kind", [matching.Bytes, matching.Words])
+def test_stretches_are_linear_in_near_copies(kind):
+    rng = random.Random(17)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(800)]
+    per_copy = {}
+    for copies in (30, 1000, 5000):
+        texts = []
+        for i in range(copies):
+            own = list(words)
+            for j in range(2):
+                own[(i * 37 + 411 * j) % 800] = f"edit{i}x{j}"
+            texts.append(" ".join(own).encode())
+        found = stretches(kind, texts)
+        per_copy[copies] = sum(map(len, found.values())) / copies
+        # the stretches of a text are little longer than the text
+        assert sum(n for rows in found.values() for _, n in rows) < 2 * sum(map(len, texts))
+        assert len(found) > 1                                # and dealt over shards
+    # a text of some 5,000 bytes has at most about 20 units, however many copies it has
+    assert per_copy[1000] < 45 and per_copy[5000] < 45
+
+
+def test_only_one_of_equal_texts_is_matched(spark):
+    rng = random.Random(18)
+    text = " ".join(f"w{rng.randrange(1000)}" for _ in range(200))
+    rows = [(i, text) for i in range(400)] + [(1000, "another " + text), (1001, None), (1002, None)]
+    for by_id, kind in ((True, matching.Bytes), (False, matching.Words)):
+        by_key, _ = repeats._spans(docs(spark, rows), kind, by_id, "doc_id", "text")
+        assert sorted(r.id for r in by_key.filter("NOT copy").collect()) == [0, 1000, 1001]
+        assert by_key.filter("whole").count() == (400 if by_id else 402)
+    got = {r.doc_id: r.n_removed for r in repeats.remove_repeated_bytes(docs(spark, rows)).collect()}
+    assert got[0] == 0 and got[399] == len(text.encode()) and got[1000] == len(text.encode())
+    got = {r.doc_id: r.n_removed for r in repeats.remove_repeated_words(docs(spark, rows)).collect()}
+    assert got[0] == got[399] == got[1000] == 200
 
 
 def test_dealt_copies_match_brute_force(spark, monkeypatch):

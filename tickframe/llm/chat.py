@@ -128,36 +128,63 @@ def _root(path: str) -> str:
 def to_turns(df: DataFrame, id_col: str = "id", layouts: Iterable[Layout] = LAYOUTS) -> DataFrame:
     """``conv_id, turn, role, text`` (and ``layout``) from any declared layout.
 
-    Fields that no declared layout names are ignored (extra columns do not
-    change the fingerprint). A row whose fingerprint is unknown keeps one row
-    with null turn, role and text, so nothing is dropped; so does a row with no
-    turns. A table with none of the layouts is an error.
+    The fingerprint of the table, the hash of the declared field paths it has, is looked
+    up among those of the layouts; a table of one layout, turn rows included, is
+    converted as such and its null fields read as empty. In a table that mixes layouts
+    the fingerprint of each row (of the paths whose column it fills) selects its layout;
+    where none fits, the layout of which the row fills the largest share (ties: the one
+    declared first), with the rest read as empty. A row that fills no declared field, or
+    has no turns, keeps one row with null turn, role and text, so nothing is dropped.
+    Fields that no declared layout names are ignored. A table with none of the layouts
+    is an error.
     """
     found = _match(df, layouts)
     if not found:
         raise ValueError("no declared layout has its fields in this table: "
                          + ", ".join(field_paths(df.schema)))
-    rows = next((x for x in found if x.turn), None)
-    if rows is not None:
-        conv, turn, role, text = rows.turn
-        return df.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"),
-                         F.col(role).cast("string").alias("role"),
-                         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-                         F.lit(rows.name).alias("layout"))
-    # a row's fingerprint: the hash of the declared paths whose column it fills
     known = sorted({p for x in found for p in x.paths})
-    present = F.sha2(F.concat_ws("\n", *[F.when(F.col(_root(p)).isNotNull(), F.lit(p)) for p in known]), 256)
-    turns = name = None
-    for x in found:
-        hit = F.col("_fp") == x.fingerprint
-        t, n = x.turns(), F.lit(x.name)
-        turns = F.when(hit, t) if turns is None else turns.when(hit, t)
-        name = F.when(hit, n) if name is None else name.when(hit, n)
-    out = df.withColumn("_fp", present).select(F.col(id_col).alias("_id"), turns.alias("_t"), name.alias("_n"))
-    out = out.select("_id", "_n", F.posexplode_outer("_t").alias("_p", "_t"))
-    return out.select(F.col("_id").alias("conv_id"), F.col("_p").cast("bigint").alias("turn"),
-                      F.col("_t.role").alias("role"), F.col("_t.text").alias("text"),
-                      F.col("_n").alias("layout"))
+    whole = {x.fingerprint: x for x in found}.get(fingerprint(known))
+    if whole is not None and whole.turn:
+        return _turn_rows(df, whole)
+    if whole is not None:
+        turns, name, own = whole.turns(), F.lit(whole.name), None
+    else:
+        filled = {p: F.col(f"`{_root(p)}`").isNotNull() for p in known}
+        print_ = F.sha2(F.concat_ws("\n", *[F.when(filled[p], F.lit(p)) for p in known]), 256)
+        share = {x.name: sum((F.when(filled[p], 1.0).otherwise(0.0) for p in x.paths), F.lit(0.0)) / len(x.paths)
+                 for x in found}
+        most = F.greatest(*share.values()) if len(share) > 1 else next(iter(share.values()))
+        name = F.lit(None).cast("string")
+        for x in reversed(found):
+            name = F.when((share[x.name] == most) & (most > 0), F.lit(x.name)).otherwise(name)
+        for x in found:
+            name = F.when(print_ == x.fingerprint, F.lit(x.name)).otherwise(name)
+        turns = F.lit(None)
+        for x in found:
+            turns = F.when(F.col("_name") == x.name, F.array(_turn(F.col(x.turn[2]), F.col(x.turn[3]))) if x.turn
+                           else x.turns()).otherwise(turns)
+        own = next((x for x in found if x.turn), None)
+    conv = F.col(id_col) if id_col in df.columns or own is None else F.lit(None)
+    at = F.col("_p").cast("bigint")
+    out = df.select("*", name.alias("_name")).select(
+        "_name", turns.alias("_t"), conv.alias("_id"), *([] if own is None else [
+            F.col(own.turn[0]).alias("_conv"), F.col(own.turn[1]).cast("bigint").alias("_turn")]))
+    conv = F.col("_id")
+    if own is not None:
+        mine = F.col("_name") == own.name
+        same = out.schema["_conv"].dataType == out.schema["_id"].dataType
+        conv = F.when(mine, F.col("_conv") if same else F.col("_conv").cast("string")).otherwise(
+            conv if same else conv.cast("string"))
+        at = F.when(mine, F.col("_turn")).otherwise(at)
+    out = out.select("*", F.posexplode_outer("_t").alias("_p", "_e"))
+    return out.select(conv.alias("conv_id"), at.alias("turn"), F.col("_e.role").alias("role"),
+                      F.col("_e.text").alias("text"), F.col("_name").alias("layout"))
+
+
+def _turn_rows(df: DataFrame, layout: Layout) -> DataFrame:
+    conv, turn, role, text = layout.turn
+    return df.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"),
+                     F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), F.lit(layout.name).alias("layout"))
 
 
 # ------------------------------------------------------------------ template

@@ -63,7 +63,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least:
     def searcher(shared):
         def run(batches):
             import pyarrow as pa
-            index = kernels.ItemIndex(shared.value, shingle, radius, blocks, least)
+            index = kernels.ItemIndex.of(shared.value)
             for batch in batches:
                 raw, offs = kernels.texts(batch.column(1))
                 rows, who, first, sim = [], [], [], []
@@ -86,8 +86,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least:
 
     from pyspark.sql.pandas.types import to_arrow_type
     item_pa = to_arrow_type(items.schema[item_id].dataType)
-    parts = [src.mapInArrow(searcher(spark.sparkContext.broadcast(b)), schema)
-             for b in _blocks(items, item_id, item_text)]
+    parts = [src.mapInArrow(searcher(spark.sparkContext.broadcast(
+        kernels.ItemIndex(b, shingle, radius, blocks, least).state)), schema) for b in _blocks(items, item_id, item_text)]
     if not parts:
         parts = [src.limit(0).selectExpr("id", f"cast(null as {item_type}) item", "0L first_word",
                                          "cast(0 as double) similarity")]
@@ -104,14 +104,16 @@ def drop_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least:
                radius: int = RADIUS, blocks: int = BLOCKS, text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose own text repeats no item (see ``find_leaks``), all
-    columns. Rows are judged one by one, so nothing is shuffled."""
+    columns, whatever their names. Null and empty texts repeat nothing and stay; rows
+    that repeat each other stay or go alike; an empty table gives an empty one. Rows
+    are judged one by one, so nothing is shuffled."""
     sc = docs.sparkSession.sparkContext
     at = docs.columns.index(text_col)
 
     def keeper(shared):
         def run(batches):
             import pyarrow as pa
-            index = kernels.ItemIndex(shared.value, shingle, radius, blocks, least)
+            index = kernels.ItemIndex.of(shared.value)
             for batch in batches:
                 raw, offs = kernels.texts(batch.column(at))
                 bad = {a + r for a, b in kernels.slices(offs)
@@ -121,5 +123,6 @@ def drop_leaks(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, least:
 
     out = docs
     for block in _blocks(items, item_id, item_text):
-        out = out.mapInArrow(keeper(sc.broadcast(block)), docs.schema)
+        out = out.mapInArrow(keeper(sc.broadcast(kernels.ItemIndex(block, shingle, radius, blocks, least).state)),
+                             docs.schema)
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_table
+from .common import unused
 
 PREFIX_CHARS = 64
 
@@ -68,17 +69,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns (one of repeated rows)."""
-    cols = docs.columns
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
+
+    Of equal texts (a null text counts as empty) the row with the largest id stays, of
+    rows that repeat that id and text one; a null id stays only among null ids. An empty
+    table gives an empty one."""
+    key, id_, size, pre, full, n = unused(docs, "_key", "_id", "_len", "_pre", "_hash", "_n")
     keep = (exact_groups(docs, id_col, text_col).filter("kept")
-            .select(F.col(id_col).alias("_id"), F.col("text_len").alias("_len"), F.col("prefix_hash").alias("_pre"),
-                    F.col("full_hash").alias("_hash"), F.col("n_rows").alias("_n")))
+            .select(F.col(id_col).alias(id_), F.col("text_len").alias(size), F.col("prefix_hash").alias(pre),
+                    F.col("full_hash").alias(full), F.col("n_rows").alias(n)))
     t = _norm(text_col)
     # a row's own id finds its verdict; length and hashes tell texts of one id apart
-    hit = docs.withColumn("_key", F.col(id_col)).join(
-        keep, F.col("_key").eqNullSafe(F.col("_id")) & (F.octet_length(t) == F.col("_len"))
-        & (prefix_hash(text_col) == F.col("_pre")))
-    hit = hit.filter(F.col("_hash").isNull() | (F.sha2(t, 256) == F.col("_hash")))
-    if keep.filter("_n > 1").isEmpty():
-        return hit.select(*cols)
-    return hit.dropDuplicates(["_key", "_len", "_pre", "_hash"]).select(*cols)
+    hit = docs.withColumn(key, F.col(id_col)).join(
+        keep, F.col(key).eqNullSafe(F.col(id_)) & (F.octet_length(t) == F.col(size))
+        & (prefix_hash(text_col) == F.col(pre)))
+    hit = hit.filter(F.col(full).isNull() | (F.sha2(t, 256) == F.col(full)))
+    if keep.filter(F.col(n) > 1).isEmpty():
+        return hit.select(docs.columns)
+    return hit.dropDuplicates([key, size, pre, full]).select(docs.columns)

@@ -190,9 +190,20 @@ class ItemIndex:
     Items are kept by their number of words. A fingerprint is taken over word
     hashes. It is cut into ``blocks`` blocks; two fingerprints within ``radius``
     bits agree in at least one block up to ``radius // blocks`` bits. Per block a
-    table lists, for every value, the items whose block is that near.
+    sorted table lists every value that near with its item, 6 bytes each. The driver
+    builds the index once; its ``state`` is what is broadcast.
     """
 
+    @classmethod
+    def of(cls, state: dict) -> "ItemIndex":
+        index = cls.__new__(cls)
+        index.__dict__.update(state)
+        return index
+
+    @property
+    def state(self) -> dict:
+        return self.__dict__
+
     def __init__(self, items: list[tuple], shingle: int, radius: int, blocks: int, least: float):
         self.shingle, self.radius, self.blocks, self.least = shingle, radius, blocks, least
         self.width = 64 // blocks
@@ -217,8 +228,7 @@ class ItemIndex:
                 keys = (value[:, None] ^ near[None, :]).ravel()
                 who = np.repeat(np.arange(len(group)), len(near))
                 order = np.argsort(keys, kind="stable")
-                first = np.searchsorted(keys[order], np.arange((1 << self.width) + 1)).astype(np.int32)
-                tables.append((first, who[order].astype(np.int32)))
+                tables.append((keys[order].astype(np.uint32 if self.width > 16 else np.uint16), who[order].astype(np.int32)))
             self.by_len[n] = (np.array(group), fps, tables)
         sizes = sorted({min(shingle, n) for n in by_len})
         self.members = {k: np.unique(np.concatenate(
@@ -235,9 +245,9 @@ class ItemIndex:
         """(index into ``fps``, item number) of all pairs within the radius."""
         group, own, tables = self.by_len[n_words]
         found = []
-        for b, (first, who) in enumerate(tables):
-            value = ((fps >> U(b * self.width)) & U((1 << self.width) - 1)).astype(np.int64)
-            lo, hi = first[value], first[value + 1]
+        for b, (keys, who) in enumerate(tables):
+            value = ((fps >> U(b * self.width)) & U((1 << self.width) - 1)).astype(keys.dtype)
+            lo, hi = np.searchsorted(keys, value, "left"), np.searchsorted(keys, value, "right")
             found.append(np.stack([np.repeat(np.arange(len(fps)), hi - lo), who[ranges(lo, hi)]]))
         pairs = np.unique(np.concatenate(found, axis=1), axis=1)
         close = np.bitwise_count(fps[pairs[0]] ^ own[pairs[1]]) <= self.radius

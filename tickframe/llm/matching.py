@@ -12,6 +12,7 @@ import numpy as np
 from .kernels import BASE, BYTE_VALUE, U, grams, mix64, ranges, row_of, spans_hash, words
 
 KEY_BYTES, PLACE_BYTES = 5, 2
+UNIT_LOADS = 64
 #: An automaton holds about this many reference words; more make several, one after the other.
 AUTOMATON_WORDS = 1 << 16
 HIGH, LOW = U(0xFFFFFFFF00000000), U(0xFFFFFFFF)
@@ -147,8 +148,9 @@ def shared_anchors(kind, ids: np.ndarray, keys: np.ndarray, places: np.ndarray,
     ``kind.block`` symbols, whatever the number of rows that share it, so that
     neighbouring anchors meet in one place and a row's stretches are as many as its
     blocks. Where so many rows share it that their blocks exceed ``kind.load``
-    symbols, the stretch is a fourth of the block, then a sixteenth (one unit), and
-    beyond that the anchor by itself."""
+    symbols, the stretch is a fourth of the block, then a sixteenth (one unit). Units
+    of near copies are mostly equal, and equal stretches are matched once; where even
+    they exceed ``UNIT_LOADS`` times the load, an anchor is dealt by itself."""
     order = np.lexsort((ids, keys))
     i, k = ids[order], keys[order]
     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
@@ -164,7 +166,7 @@ def shared_anchors(kind, ids: np.ndarray, keys: np.ndarray, places: np.ndarray,
     home = mix64(k[first] + U(1))
     stretch = kind.unit
     while stretch <= kind.block:
-        fits = size * stretch <= kind.load
+        fits = size * stretch <= kind.load * (UNIT_LOADS if stretch == kind.unit else 1)
         at = (least // (stretch // kind.unit)).astype(U) * U(64) + U(stretch.bit_length())
         home = np.where(fits, mix64(mix64(i[first].view(U)) + at * U(BASE)), home)
         stretch *= 4
@@ -558,6 +560,30 @@ def repeated_bytes(bodies: list[bytes], ids: np.ndarray, starts: np.ndarray, n:
     yield from covered(flag, seg_of, seg_first, starts, n)
 
 
+def covered_stretches(kind, bodies: list[bytes], ids: np.ndarray, starts: np.ndarray, by_id: bool):
+    """Per stretch of a shard with covered symbols: (stretch, begins, ends), in symbols of
+    its row. Equal stretches are matched once, as that of their smallest id: it holds all
+    windows of the others, which are covered from end to end (``by_id``: those of larger
+    ids; else itself as well)."""
+    same: dict[bytes, list[int]] = {}
+    for x, body in enumerate(bodies):
+        same.setdefault(body, []).append(x)
+    groups = list(same.values())
+    lead = [min(g, key=ids.__getitem__) for g in groups]
+    one = [bodies[x] for x in lead]
+    found = (repeated_bytes(one, ids[lead], np.zeros(len(lead), np.int64), kind.n) if by_id
+             else repeated_words(one, np.zeros(len(lead), np.int64), kind.n))
+    spans = {g: (lo, hi) for g, lo, hi in found}
+    for g, rows in enumerate(groups):
+        size = len(one[g]) if by_id else len(one[g].split())
+        whole = (np.zeros(1, np.int64), np.array([size])) if size >= kind.n else None
+        for x in rows:
+            copy = len(rows) > 1 and (not by_id or ids[x] > ids[lead[g]])
+            got = whole if copy else spans.get(g)
+            if got is not None:
+                yield x, got[0] + starts[x], got[1] + starts[x]
+
+
 def union(spans: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """The union of half-open spans, as maximal ones."""
     lo = np.concatenate([x for x, _ in spans])

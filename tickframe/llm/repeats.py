@@ -46,7 +46,8 @@ def _spans(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str) -> tu
     told = src.observe(seen, F.sum(F.octet_length("text")).alias("bytes"))
     groups = told.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1")
     groups = scratch_table(groups.select("tag", "least"), "equal-texts")
-    width = max(shuffle_width(docs.sparkSession), math.ceil((seen.get["bytes"] or 0) / PARTITION_BYTES))
+    size = 0 if src.isEmpty() else seen.get["bytes"]        # nothing is observed of an empty table
+    width = max(shuffle_width(docs.sparkSession), math.ceil(size / PARTITION_BYTES))
     shards = SHARDS_PER_PARTITION * width
     equal = (src.select("id", "tag").join(groups, "tag").groupBy("id")
              .agg(F.collect_set(F.struct("tag", "least")).alias("equal")))
@@ -125,9 +126,7 @@ def _spans(docs: DataFrame, kind, by_id: bool, id_col: str, text_col: str) -> tu
         table = table.combine_chunks()
         ids, first = (table.column(n).to_numpy() for n in ("id", "first"))
         tags = table.column("tag")
-        bodies = table.column("body").to_pylist()
-        found = (matching.repeated_bytes(bodies, ids, first, kind.n) if by_id
-                 else matching.repeated_words(bodies, first, kind.n))
+        found = matching.covered_stretches(kind, table.column("body").to_pylist(), ids, first, by_id)
         rows = [(ids[s], tags[s].as_py(), lo.astype(np.int64).tobytes(), hi.astype(np.int64).tobytes())
                 for s, lo, hi in found]
         cols = list(zip(*rows)) if rows else [(), (), (), ()]

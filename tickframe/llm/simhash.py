@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_table
 from . import kernels
+from .common import unused
 from .graph import components
 
 BITS = 64
@@ -113,8 +114,11 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int =
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, all columns.
-    Rows that repeat that id stay; a component of null ids stays whole."""
+    """The rows of ``docs`` whose id is the smallest of its component, all columns, whatever
+    their names. Null texts and texts without words share fingerprint zero and are near
+    copies of each other. Rows that repeat that id stay; a component of null ids stays
+    whole. An empty table gives an empty one."""
+    name, = unused(docs, "_keep")
     keep = near_groups(docs, shingle, radius, seed, id_col, text_col).filter(
-        F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+        F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(keep, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
