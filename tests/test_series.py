@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickframe.config import ExecutionConfig, ModelConfig, Ordering
-from tickframe.operators import deadband, evaluation, ledger, metrics, ordered, training
+from tickframe.operators import deadband, evaluation, ledger, metrics, ordered, quantiles, signals, training
 from tickframe.operators.cells import even_cells
 from tickframe.operators.sliding import sliding_frames
 
@@ -237,3 +237,54 @@ def test_rolling_metrics_take_wide_windows(spark):
     df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, seq long, pnl double, cumulative_pnl double")
     got = metrics.rolling_metrics(df, 600, o=KEYED).filter("rolling_return IS NOT NULL").collect()
     assert len(got) == n - 599 and all(r.rolling_drawdown == 0 for r in got)
+
+
+def test_merged_sketches_are_near_the_exact_quantiles(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), d, rng.lognormvariate(0, 2)) for d in range(20) for _ in range(500)]
+    rows += [("c", 0, 7.0), ("d", 0, None), ("d", 1, float("nan")), (None, 3, 1.0), (None, 4, 3.0)]
+    df = spark.createDataFrame(rows, "k string, day int, v double")
+    daily = quantiles.quantile_sketches(df, ["k", "day"], "v")
+    got = {r.k: r for r in quantiles.merged_quantiles(daily.filter("day >= 3"), ["k"], {"lo": 0.01, "mid": 0.5, "hi": 0.99}).collect()}
+    assert set(got) == {"a", "b", None} and got[None].n == 2
+    for k in "ab":
+        mine = sorted(v for x, d, v in rows if x == k and d >= 3)
+        assert got[k].n == len(mine)
+        for name, q in (("lo", 0.01), ("mid", 0.5), ("hi", 0.99)):
+            rank = sum(v <= got[k][name] for v in mine) / len(mine)
+            assert abs(rank - q) <= 0.01
+
+
+def test_moments_keep_their_digits_beside_a_large_mean(spark):
+    rng = random.Random(9)
+    noise = [(rng.gauss(0, 1), rng.gauss(0, 1)) for _ in range(2000)]
+    rows = [(1e8 + a, 1e8 + a + b, 5.0) for a, b in noise] + [(None, 1e8, 5.0)]
+    df = spark.createDataFrame(rows, "x double, y double, flat double").repartition(5)
+    got = {(r.feature_a, r.feature_b): r.corr for r in metrics.feature_correlation(df, ["x", "y", "flat"]).collect()}
+    xs, ys = [a for a, _ in noise], [a + b for a, b in noise]
+    mx, my = sum(xs) / 2000, sum(ys) / 2000
+    want = sum((x - mx) * (y - my) for x, y in zip(xs, ys)) / math.sqrt(
+        sum((x - mx) ** 2 for x in xs) * sum((y - my) ** 2 for y in ys))
+    assert got["x", "y"] == pytest.approx(want, rel=1e-6) and got["x", "x"] == pytest.approx(1.0)
+    assert got["x", "flat"] is None and got["flat", "flat"] is None
+
+
+def test_threshold_search_skips_nan_and_keeps_digits(spark):
+    rng = random.Random(10)
+    rows = [(rng.random(), rng.random() / 3, 1e8 + rng.gauss(0, 1)) for _ in range(400)]
+    schema = "prob_up double, prob_down double, return_forward_1 double"
+    clean = signals.optimize_thresholds(spark.createDataFrame(rows, schema)).collect()
+    dirty = rows + [(float("nan"), 0.0, 1e9), (0.9, float("nan"), 1e9), (0.9, 0.0, float("nan"))]
+    none = [tuple(None if x != x else x for x in r) for r in dirty]
+    for metric in ("sharpe", "sortino", "hit_rate"):        # NaN is read like NULL
+        a, b = (signals.optimize_thresholds(spark.createDataFrame(x, schema), metric).first() for x in (dirty, none))
+        assert a[:2] == b[:2] and a.score == pytest.approx(b.score, rel=1e-9)
+    best = None
+    for hi in signals.LONG_GRID:
+        for lo in signals.SHORT_GRID:
+            x = [(-1 if d > lo else 1 if u > hi else 0) * r for u, d, r in rows]
+            m = math.fsum(x) / len(x)
+            sd = math.sqrt(math.fsum((v - m) ** 2 for v in x) / (len(x) - 1))
+            if best is None or (m / sd if sd else 0) > best:
+                best = m / sd if sd else 0
+    assert clean[0].score == pytest.approx(best, rel=1e-9)

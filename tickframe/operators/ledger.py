@@ -102,7 +102,7 @@ def execute_trades(df: DataFrame, cfg: ExecutionConfig = ExecutionConfig(),
         # smaller one would be held back and change all later rows
         small = (F.abs(trade) > F.lit(1e-9)) & (F.abs(trade) < F.lit(m))
         trade = F.when(small, F.raise_error(F.lit(
-            "a target moves by less than the smallest trade, which holds it back: "
+            "a target moves by less than min_trade_size and would be held back: "
             "ExecutionConfig(dead_band=True) follows such sizes")).cast("double")).otherwise(trade)
     executed = (F.abs(trade) >= F.lit(m)) if m > 0 else F.lit(True)
     x = x.withColumns({"_trade": trade, "executed": executed})

@@ -158,44 +158,58 @@ def metric_report(metrics: DataFrame, *keys: str) -> DataFrame:
 def feature_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """AGG19: pairwise Pearson correlation, long form (pairwise-complete rows as pandas).
 
-    The columns are written once. Each task reduces its rows to the moments of all
-    pairs by matrix products (one row per pair, whatever the number of rows), which a
-    grouped sum adds up. Columns are shifted by their minimum before, which keeps
-    digits where the mean is large against the spread. NULL where a column is constant
-    on the rows of the pair. Any number of columns gives one pass; an aggregate of
-    thousands of ``corr`` expressions would not compile.
+    Each task reduces its rows to the central moments of all pairs by matrix products (one
+    row per pair, whatever the number of rows), taken about the first known values it
+    sees; the tasks' moments are merged about their common mean, so a mean that is large
+    against the spread costs no digits. NULL where a column is constant on the rows of
+    the pair. Any number of columns gives one pass; an aggregate of thousands of ``corr``
+    expressions would not compile.
     """
-    from ..session import scratch_table
-    df = scratch_table(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "correlation-input")
-    low = df.agg(*[F.min(c).alias(c) for c in cols]).first()   # one value a column
-    x = df.select(*[(F.col(c) - F.lit(low[c])).cast("double").alias(c) for c in cols])
     p = len(cols)
+    x = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
 
     def moments(batches):
         import numpy as np
         import pyarrow as pa
         n, sx, sxx, sxy = (np.zeros((p, p)) for _ in range(4))
+        about = np.full(p, np.nan)
         for batch in batches:
-            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
             known = ~np.isnan(v)
-            v, known = np.where(known, v, 0.0), known.astype(float)
+            some = np.isnan(about) & known.any(axis=0)
+            about[some] = np.where(known, v, 0.0)[known.argmax(axis=0), np.arange(p)][some]
+            v, known = np.where(known, v - about, 0.0), known.astype(float)
             n += known.T @ known
             sx += v.T @ known            # [a, b]: sum of a over the rows where b is known
             sxx += (v * v).T @ known
             sxy += v.T @ v
         i, j = np.triu_indices(p)
+        m, a, b = n[i, j], sx[i, j], sx[j, i]
+        keep = m > 0
+        i, j, m, a, b = i[keep], j[keep], m[keep], a[keep], b[keep]
         yield pa.RecordBatch.from_arrays(
             [pa.array(i, pa.int32()), pa.array(j, pa.int32()),
-             *[pa.array(m) for m in (n[i, j], sx[i, j], sx[j, i], sxx[i, j], sxx[j, i], sxy[i, j])]],
-            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
-
-    sums = x.mapInArrow(moments, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double") \
-            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n, vx, vy = F.col("n"), F.expr("sxx - sx * sx / n"), F.expr("syy - sy * sy / n")
-    varies = (n > 1) & (vx > F.lit(1e-12) * F.col("sxx")) & (vy > F.lit(1e-12) * F.col("syy"))
+             *[pa.array(c) for c in (m, about[i] + a / m, about[j] + b / m, sxx[i, j] - a * a / m,
+                                     sxx[j, i] - b * b / m, sxy[i, j] - a * b / m)]],
+            ["i", "j", "n", "mx", "my", "xx", "yy", "xy"])
+
+    part = x.mapInArrow(moments, "i int, j int, n double, mx double, my double, xx double, yy double, xy double")
+    pair = Window.partitionBy("i", "j")
+    mean = {c: F.sum(F.col("n") * F.col(c)).over(pair) / F.sum("n").over(pair) for c in ("mx", "my")}
+    part = part.withColumns({f"_{c}": F.col(c) - m for c, m in mean.items()})
+    size = F.col("n")
+    sums = part.groupBy("i", "j").agg(
+        F.sum(size).alias("n"), F.sum(F.col("xx") + size * F.col("_mx") ** 2).alias("xx"),
+        F.sum(F.col("yy") + size * F.col("_my") ** 2).alias("yy"),
+        F.sum(F.col("xy") + size * F.col("_mx") * F.col("_my")).alias("xy"),
+        F.max(F.abs("mx")).alias("mx"), F.max(F.abs("my")).alias("my"))
+    # a constant column has squares of rounding size only
+    varies = (size > 1) & (F.col("xx") > size * (F.lit(1e-15) * F.col("mx")) ** 2) & (
+        F.col("yy") > size * (F.lit(1e-15) * F.col("my")) ** 2)
     names = F.array(*[F.lit(c) for c in cols])
     return sums.select(names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"),
-                       F.when(varies, F.expr("sxy - sx * sy / n") / F.sqrt(vx * vy)).alias("corr"))
+                       F.when(varies & (F.col("xx") > 0) & (F.col("yy") > 0),
+                              F.col("xy") / F.sqrt(F.col("xx") * F.col("yy"))).alias("corr"))
 
 
 def describe_features(df: DataFrame, cols: list[str], *keys: str) -> DataFrame:

@@ -52,8 +52,9 @@ def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(r, reduce(lambda a, b: a & b, on), how).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_positions(df: DataFrame, o: Ordering) -> DataFrame:
-    """Add ``pos``: the 0-based row position of each row within its key.
+def with_positions(df: DataFrame, o: Ordering, size: str | None = None) -> DataFrame:
+    """Add ``pos``: the 0-based row position of each row within its key; with ``size`` also
+    the rows of the key under that name, which the same counts give.
 
     Keyed mode: ``row_number`` over the key. Chunked mode, in three parallel
     steps that never put a whole key into one task:
@@ -64,16 +65,18 @@ def with_positions(df: DataFrame, o: Ordering) -> DataFrame:
     The offset table is joined without a hint: AQE broadcasts it after it has
     measured its size and keeps a shuffle join otherwise.
     """
-    if POS in df.columns:
+    if POS in df.columns and size is None:
         return df
+    whole = Window.partitionBy(*o.keys)
     if o.chunk_rows is None:
-        return df.withColumn(POS, F.row_number().over(keyed_window(o)) - F.lit(1))
+        out = df.withColumn(POS, F.row_number().over(keyed_window(o)) - F.lit(1))
+        return out if size is None else out.withColumn(size, F.count(F.lit(1)).over(whole))
     x = bucketed(df, o)
     counts = x.groupBy(*o.keys, _BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(*o.keys).orderBy(_BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = counts.select(*o.keys, _BUCKET,
-                            F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"))
+    offsets = counts.select(*o.keys, _BUCKET, F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_off"),
+                            *([] if size is None else [F.sum("_n").over(whole).alias(size)]))
     local = F.row_number().over(keyed_window(o, _BUCKET)) - F.lit(1)
     return (join_keys(x, offsets, [*o.keys, _BUCKET])
             .withColumn(POS, F.col("_off") + local)

@@ -101,3 +101,25 @@ def _pick(joined: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataF
     picked = picked.withColumn("_val", val)
     return picked.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_q") == F.lit(n), F.col("_val"))).alias(n) for n in names])
+
+
+# ------------------------------------------------------------------ approximate, by mergeable sketches
+
+SKETCH_K = 1000
+
+
+def quantile_sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = SKETCH_K) -> DataFrame:
+    """``keys, n, sketch``: a KLL sketch of the non-null, non-NaN values per group, a few KB
+    whatever its rows. Store it per (series, day): any range of days is then answered from
+    the sketches alone. ``k`` sets the rank error (about 2.3 / k ** 0.9)."""
+    v = F.col(value).cast("double")
+    return (df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("_v", F.lit(k)).alias("sketch")))
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str], qs: Mapping[str, float]) -> DataFrame:
+    """``keys, n`` and one DOUBLE column per entry of ``qs`` from the merged sketches of each
+    group: approximate (see ``quantile_sketches``), where ``exact_quantiles`` is exact."""
+    merged = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("_s"))
+    return merged.select(*keys, "n", *[F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias(name)
+                                       for name, q in qs.items()])

@@ -139,23 +139,19 @@ def optimize_thresholds(df: DataFrame, metric: str = "sharpe", *keys: str,
     if ret not in df.columns:
         raise ValueError(f"DataFrame must contain '{ret}' column")
     ternary = "prob_down" in df.columns
-    up = F.col("prob_up")
+    up = known(F.col("prob_up"))
+    r = F.col("r")
+    parts = {"all": r, "pos": F.when(r > 0, r), "neg": F.when(r < 0, r)}
     cells = df.select(
         *keys,
         _cell_index(up, LONG_GRID).alias("cu"),
-        (_cell_index(F.col("prob_down"), SHORT_GRID) if ternary
+        (_cell_index(known(F.col("prob_down")), SHORT_GRID) if ternary
          else _cell_index(up, SHORT_GRID, strict=False)).alias("cd"),
-        F.col(ret).alias("r"),
+        known(F.col(ret)).alias("r"),
     ).groupBy(*keys, "cu", "cd").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count("r").alias("nr"),
-        F.sum("r").alias("sr"), F.sum(F.col("r") * F.col("r")).alias("sr2"),
-        F.count(F.when(F.col("r") > 0, 1)).alias("npos"),
-        F.count(F.when(F.col("r") < 0, 1)).alias("nneg"),
-        F.sum(F.when(F.col("r") > 0, F.col("r"))).alias("spos"),
-        F.sum(F.when(F.col("r") > 0, F.col("r") * F.col("r"))).alias("spos2"),
-        F.sum(F.when(F.col("r") < 0, F.col("r"))).alias("sneg"),
-        F.sum(F.when(F.col("r") < 0, F.col("r") * F.col("r"))).alias("sneg2"),
+        # count, mean and squared deviations of the returns, the gains and the losses
+        *[f(x).alias(f"{a}_{p}") for p, x in parts.items() for a, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))],
     )
     idx = F.sequence(F.lit(0), F.lit(len(LONG_GRID) - 1))
     points = (cells.withColumn("li", F.explode(idx)).withColumn("si", F.explode(idx))
@@ -174,19 +170,30 @@ def optimize_thresholds(df: DataFrame, metric: str = "sharpe", *keys: str,
         # prob_up < s  <=>  p is not >= s  <=>  (>=)-count k <= i
         sig = (F.when((cd >= 0) & (cd <= F.col("si")), F.lit(-1)).when(is_long, F.lit(1))
                .when(cu >= 0, F.lit(0)))
-    s = sig
-    n_x = F.when(s.isNotNull(), F.col("nr")).otherwise(F.lit(0))
-    sum_x = F.when(s.isNotNull(), s * F.coalesce(F.col("sr"), F.lit(0.0))).otherwise(F.lit(0.0))
-    sum_x2 = F.when(s.isNotNull(), s * s * F.coalesce(F.col("sr2"), F.lit(0.0))).otherwise(F.lit(0.0))
-    # x = sig * r is negative for a long with r < 0 and for a short with r > 0
-    n_neg = F.when(s == 1, F.col("nneg")).when(s == -1, F.col("npos")).otherwise(F.lit(0))
-    s_neg = F.coalesce(F.when(s == 1, F.col("sneg")).when(s == -1, -F.col("spos")), F.lit(0.0))
-    s_neg2 = F.coalesce(F.when(s == 1, F.col("sneg2")).when(s == -1, F.col("spos2")), F.lit(0.0))
-    wins = F.when(s == 1, F.col("npos")).when(s == -1, F.col("nneg")).otherwise(F.lit(0))
-    per_point = points.groupBy(*keys, "li", "si", "long_threshold", "short_threshold").agg(
-        F.sum("n").alias("N"), F.sum(n_x).alias("nx"), F.sum(sum_x).alias("sx"),
-        F.sum(sum_x2).alias("sx2"), F.sum(n_neg).alias("nn"), F.sum(s_neg).alias("sn"),
-        F.sum(s_neg2).alias("sn2"), F.sum(wins).alias("w"))
+    points = points.withColumn("s", sig)
+    s = F.col("s")
+    # x = s * r: all returns with the side's sign (none counts as 0), and those below 0,
+    # which are the losses of a long and the gains of a short
+    side = F.when(s == 1, F.lit("neg")).when(s == -1, F.lit("pos"))
+    points = points.withColumns({
+        "nx": F.when(s.isNotNull(), F.col("n_all")).otherwise(0), "mx": s * F.coalesce("m_all", F.lit(0.0)),
+        "vx": s * s * F.coalesce("v_all", F.lit(0.0)),
+        "nn": F.coalesce(F.when(side == "neg", F.col("n_neg")).when(side == "pos", F.col("n_pos")), F.lit(0)),
+        "mn": F.coalesce(F.when(side == "neg", F.col("m_neg")).when(side == "pos", -F.col("m_pos")), F.lit(0.0)),
+        "vn": F.coalesce(F.when(side == "neg", F.col("v_neg")).when(side == "pos", F.col("v_pos")), F.lit(0.0)),
+        "w": F.when(s == 1, F.col("n_pos")).when(s == -1, F.col("n_neg")).otherwise(0)})
+    # cells are merged about their common mean, so a mean that is large against the
+    # spread costs no digits
+    group = [*keys, "li", "si"]
+    wg = Window.partitionBy(*group)
+    for k in ("x", "n"):
+        size, mean = F.col(f"n{k}"), F.coalesce(F.col(f"m{k}"), F.lit(0.0))
+        points = points.withColumn(f"c{k}", F.try_divide(F.sum(size * mean).over(wg), F.sum(size).over(wg)))
+    per_point = points.groupBy(*group, "long_threshold", "short_threshold").agg(
+        F.sum("n").alias("N"), F.sum("w").alias("w"),
+        *[x for k in ("x", "n") for x in (
+            F.sum(f"n{k}").alias(f"n{k}"), F.max(f"c{k}").alias(f"c{k}"),
+            F.sum(F.col(f"n{k}") * (F.col(f"v{k}") + (F.col(f"m{k}") - F.col(f"c{k}")) ** 2)).alias(f"d{k}"))])
     scored = per_point.withColumn("score", _score(metric))
     order = [F.col("score").desc_nulls_last(), F.col("li"), F.col("si")]
     w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
@@ -194,18 +201,13 @@ def optimize_thresholds(df: DataFrame, metric: str = "sharpe", *keys: str,
     return best.select(*keys, "long_threshold", "short_threshold", "score")
 
 
-def _std_from_sums(n: Column, s: Column, s2: Column) -> Column:
-    """Sample standard deviation from count, sum and sum of squares."""
-    var = F.try_divide(s2 - F.try_divide(s * s, n), n - F.lit(1))
-    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+def _std(n: Column, squares: Column) -> Column:
+    """Sample standard deviation from the count and the squared deviations."""
+    return F.when(n > 1, F.sqrt(squares / (n - F.lit(1))))
 
 
 def _score(metric: str) -> Column:
-    nx, sx, sx2 = F.col("nx"), F.col("sx"), F.col("sx2")
-    if metric == "sharpe":
-        sd = _std_from_sums(nx, sx, sx2)
-        return F.when(sd > 0, F.try_divide(F.try_divide(sx, nx), sd)).otherwise(F.lit(0.0))
-    if metric == "sortino":
-        sd = _std_from_sums(F.col("nn"), F.col("sn"), F.col("sn2"))
-        return F.when(sd > 0, F.try_divide(F.try_divide(sx, nx), sd)).otherwise(F.lit(0.0))
-    return F.try_divide(F.col("w").cast("double"), F.col("N").cast("double"))
+    if metric == "hit_rate":
+        return F.try_divide(F.col("w").cast("double"), F.col("N").cast("double"))
+    sd = _std(F.col("nx"), F.col("dx")) if metric == "sharpe" else _std(F.col("nn"), F.col("dn"))
+    return F.when(sd > 0, F.try_divide(F.col("cx"), sd)).otherwise(F.lit(0.0))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Ordering
-from .ordered import POS, apply_ordered, join_keys, with_positions
+from .ordered import POS, apply_ordered, with_positions
 
 
 def filter_by_time(df: DataFrame, start: str | None = None, end: str | None = None,
@@ -60,12 +60,6 @@ def floor_time(c: Column, seconds: int) -> Column:
         ((r % F.lit(60_000_000)).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(8,6)"))
 
 
-def with_key_size(df: DataFrame, o: Ordering, out: str = "n_rows") -> DataFrame:
-    """Attach the row count of each key (group-by joined back, null keys included)."""
-    sizes = df.groupBy(*o.keys).agg(F.count(F.lit(1)).alias(out))
-    return join_keys(df, sizes, list(o.keys))
-
-
 def sort_by_time(df: DataFrame, o: Ordering = Ordering()) -> DataFrame:
     """SRT1: rows by time over all keys (ties by the rest of the order, then key).
     A range-partitioned sort: no task holds more than its range."""
@@ -111,7 +105,7 @@ def sliding_windows(df: DataFrame, size: int, step: int = 1, o: Ordering = Order
     Each row is emitted once per window that contains it, tagged with
     ``window_id`` (= i / step): a long table instead of a list of copies.
     """
-    p = with_key_size(with_positions(df.drop(POS), o), o, "_n")
+    p = with_positions(df.drop(POS), o, "_n")
     r = F.col(POS)
     lo = F.greatest(F.lit(0), F.ceil((r - F.lit(size - 1)) / F.lit(step)))
     hi = F.least(F.floor(r / F.lit(step)), F.floor((F.col("_n") - F.lit(size)) / F.lit(step)))
@@ -143,13 +137,13 @@ def _split_label(p: Column, n: Column, test: float, val: float) -> Column:
 def time_split(df: DataFrame, test_size: float = 0.2, val_size: float = 0.2,
                o: Ordering = Ordering()) -> DataFrame:
     """TS4: first rows train, then val, last int(N*test) rows test -- one ``split`` column."""
-    p = with_key_size(with_positions(df.drop(POS), o), o, "_n")
+    p = with_positions(df.drop(POS), o, "_n")
     return p.withColumn("split", _split_label(F.col(POS), F.col("_n"), test_size, val_size)).drop("_n")
 
 
 def time_split_ratio(df: DataFrame, train_ratio: float = 0.8, o: Ordering = Ordering()) -> DataFrame:
     """TS5: the first int(N*ratio) rows train, the rest test."""
-    p = with_key_size(with_positions(df.drop(POS), o), o, "_n")
+    p = with_positions(df.drop(POS), o, "_n")
     cut = F.floor(F.col("_n").cast("double") * F.lit(train_ratio))
     return p.withColumn("split", F.when(F.col(POS) < cut, F.lit("train")).otherwise(F.lit("test"))
                         ).drop("_n")
@@ -164,7 +158,7 @@ def walk_forward(df: DataFrame, train_window: int = 1000, test_window: int = 200
     folds are disjoint, so every per-fold step later is a group-by on ``fold``.
     Adds ``fold``, ``train_start``, ``train_end``, ``test_start``, ``test_end``.
     """
-    p = with_key_size(with_positions(df.drop(POS), o), o, "_n")
+    p = with_positions(df.drop(POS), o, "_n")
     fold = F.floor((F.col(POS) - F.lit(train_window)) / F.lit(test_window))
     p = p.filter(F.col(POS) >= F.lit(train_window)).withColumn("fold", fold)
     p = p.filter(F.col("fold") * F.lit(test_window) < F.col("_n") - F.lit(train_window + test_window))

@@ -12,6 +12,7 @@ from ..config import FeatureConfig, LabelConfig, Ordering
 from ..operators import labels as lb
 from ..operators import ledger as led
 from ..operators import metrics as mx
+from ..operators import quantiles
 from ..operators import signals as sg
 from ..operators import timeseries as tsx
 from ..operators.cells import even_cells
@@ -115,3 +116,25 @@ def _burst_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 register("label_summary_burst_chunked", REGISTRY["label_summary"].spec, REGISTRY["label_summary"].sql)(_burst_summary)
 register("ledger_reference_burst_chunked", REGISTRY["ledger_reference"].spec, REGISTRY["ledger_reference"].sql)(_burst_ledger)
+
+
+# value at risk of any range of days from stored sketches; what must hold: all rows are in
+# them, and the rank of the value is within 1 % of the wanted one
+def _sketched_risk(spark: SparkSession, sf: str) -> DataFrame:
+    lg = scratch_table(led.execute_trades(signals(spark, sf), EXE, SMALL).select("symbol", "ts", "pnl"), "pnl")
+    daily = scratch_table(quantiles.quantile_sketches(
+        lg.withColumn("day", F.to_date("ts")), ["symbol", "day"], "pnl"), "daily-sketches")
+    q = quantiles.merged_quantiles(daily, ["symbol"], {"q05": 0.05, "q01": 0.01})
+    days = daily.groupBy("symbol").agg(F.count(F.lit(1)).alias("days"))
+    q = q.join(days, "symbol")
+    ranks = lg.join(q, "symbol").groupBy("symbol", "days", "n").agg(
+        *[f(F.when(c, 1.0).otherwise(0.0)).alias(x) for x, c, f in (
+            ("lo5", F.col("pnl") < F.col("q05"), F.avg), ("hi5", F.col("pnl") <= F.col("q05"), F.avg),
+            ("lo1", F.col("pnl") < F.col("q01"), F.avg), ("hi1", F.col("pnl") <= F.col("q01"), F.avg))])
+    near = (F.col("lo5") <= 0.06) & (F.col("hi5") >= 0.04) & (F.col("lo1") <= 0.02) & (F.col("hi1") >= 0.0)
+    return ranks.select("symbol", "days", "n", near.alias("near"))
+
+
+register("sketched_risk", "symbol days n near", f"""
+SELECT symbol, count(DISTINCT CAST(ts AS DATE)) AS days, count(*) AS n, true AS near
+FROM ({ledger_sql(SIGNALS_SRC)}) l WHERE pnl IS NOT NULL GROUP BY symbol""")(_sketched_risk)

@@ -23,7 +23,8 @@ def features(spark: SparkSession, sf: str, cfg: FeatureConfig = FeatureConfig())
 
 
 def _d(cols) -> str:
-    return " ".join(f"{c}:d" for c in cols)
+    small = ("return_", "volatility_")
+    return " ".join(f"{c}:{'e' if c.startswith(small) else 'd'}" for c in cols)
 
 
 FEAT = f"WITH feat AS ({features_sql()}) SELECT * FROM feat"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from ..sources import sinks as sk
 from ..sources.book import N_LEVELS, load_book
 from .catalog_backtest import LEDGER_COLS, SIGNALS_SRC, ledger, ledger_sql
 from .catalog_eval import PRED_SQL, predictions
-from .catalog_features import COMPLETE, MODEL_READY, features
+from .catalog_features import COMPLETE, LEVEL_COLS, MODEL_READY, features, model_feature_names
 from .defaults import ORDERING
 from .registry import register
 from .sqltext import W, dlit, features_sql, label_sql
@@ -93,15 +95,54 @@ def _fitted_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = sk.scratch_path(spark, "model")
     md.save_model(md.fit(data.filter(F.col("split") == "train"), cols, ModelConfig("logistic_regression")), path)
     out = md.predict(md.load_model(path), data.filter(F.col("split") == "test"))
-    best = F.greatest("prob_down", "prob_flat", "prob_up")
-    of_class = F.element_at(F.array("prob_down", "prob_flat", "prob_up"), F.col("prediction") + 1)
-    return out.withColumns({"prob_sum": F.col("prob_down") + F.col("prob_flat") + F.col("prob_up"),
-                            "likeliest": (of_class == best) & F.least("prob_down", "prob_flat", "prob_up").between(0, 1)})
+    return _checked(out)
 
 
 register("fit_logistic_rows", "symbol seq label:d prob_sum:d likeliest", _TRAINING_SQL + f"""
 SELECT symbol, seq, label, {dlit(1.0)} AS prob_sum, true AS likeliest FROM s WHERE split = 'test'""")(_fitted_rows)
 
+
+
+def _kept_rows(model_type: str, **params):
+    """ML3-ML4: what must hold of every scored row (see ``_fitted_rows``)."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        data, cols = training_frame(spark, sf)
+        model = md.fit(data.filter(F.col("split") == "train"), cols, ModelConfig(model_type, params))
+        return _checked(md.predict(model, data.filter(F.col("split") == "test")))
+    return run
+
+
+def _checked(out: DataFrame) -> DataFrame:
+    probs = ("prob_down", "prob_flat", "prob_up")
+    of_class = F.element_at(F.array(*probs), F.col("prediction") + 1)
+    return out.withColumns({"prob_sum": F.col("prob_down") + F.col("prob_flat") + F.col("prob_up"),
+                            "likeliest": (of_class == F.greatest(*probs)) & F.least(*probs).between(0, 1)})
+
+
+_KEPT_SQL = f"SELECT symbol, seq, label, {dlit(1.0)} AS prob_sum, true AS likeliest"
+for _name, _fn in (("fit_forest_rows", _kept_rows("random_forest", n_estimators=10, max_depth=5)),
+                   ("fit_boosted_rows", _kept_rows("lightgbm", n_estimators=3, max_depth=4))):
+    register(_name, "symbol seq label:d prob_sum:d likeliest", _TRAINING_SQL + f"\n{_KEPT_SQL} FROM s WHERE split = 'test'")(_fn)
+
+
+def _importances(spark: SparkSession, sf: str) -> DataFrame:
+    """ML6, ML7, TOP1: every feature once, importances of at least 0 that sum to 1, and the
+    most important first."""
+    data, cols = training_frame(spark, sf)
+    model = md.fit(data.filter(F.col("split") == "train"), cols, ModelConfig("random_forest", {"n_estimators": 10, "max_depth": 5}))
+    imp = spark.createDataFrame(md.feature_importance(model, cols), "feature STRING, importance DOUBLE")
+    first = imp.agg(F.max("importance")).first()[0]
+    top = mx.top_features(imp, 20).agg(F.count(F.lit(1)).alias("n_top"), (F.max("importance") == first).alias("first_kept"))
+    return imp.agg(F.count_distinct("feature").alias("n_features"), F.sum("importance").alias("total"),
+                   (F.min("importance") >= 0).alias("none_below_0")).crossJoin(top)    # one row each
+
+
+_FEATURES = ["mid_price", "spread", "imbalance", *LEVEL_COLS,
+             *[c for c in model_feature_names() if not c.startswith("return_forward_")]]
+register("model_importances", "n_features total:d none_below_0 n_top first_kept",
+         f"SELECT CAST({len(_FEATURES)} AS BIGINT) AS n_features, {dlit(1.0)} AS total, true AS none_below_0, "
+         "CAST(20 AS BIGINT) AS n_top, true AS first_kept")(_importances)
+
 SEQ_LEN = 20
 
 
@@ -121,6 +162,32 @@ def fit_sequence(spark: SparkSession, sf: str) -> DataFrame:
 register("fit_sequence", PRED_SPEC)(fit_sequence)
 
 
+# ---------------------------------------------------------------- extension points
+
+@fx.reads(29)
+def range_features(f: DataFrame, w, cfg) -> DataFrame:
+    """EXT1: an extractor of one's own, the range of the last 30 mid prices."""
+    last = w.rowsBetween(-29, 0)
+    return f.withColumn("mid_range", F.max("mid_price").over(last) - F.min("mid_price").over(last))
+
+
+register("own_extractor", "symbol seq mid_range:d spread_rolling_mean:d", f"""
+WITH feat AS ({features_sql(MODEL_READY)})
+SELECT symbol, seq, max(mid_price) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)
+       - min(mid_price) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS mid_range, spread_rolling_mean FROM feat""")(
+    lambda spark, sf: fx.feature_pipeline(load_book(spark, sf), MODEL_READY, replace(ORDERING, chunk_rows=400),
+                                          (*fx.DEFAULT_EXTRACTORS, range_features)))
+
+
+def _own_source(spark: SparkSession, sf: str) -> DataFrame:
+    """EXT2: a loader of one's own, called by name."""
+    rd.register_book_source("derived", lambda s, path, **kw: load_book(s, path))
+    return rd.load_book_source(spark, "derived", sf)
+
+
+register("own_source", "symbol ts seq mid_price:d spread:d", "SELECT * FROM book")(_own_source)
+
+
 def top_features(spark: SparkSession, sf: str) -> DataFrame:
     """TOP1 over ML6: the 20 most important forest features."""
     data, cols = training_frame(spark, sf)
