@@ -185,17 +185,17 @@ def feature_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
             sxy += v.T @ v
         i, j = np.triu_indices(p)
         m, a, b = n[i, j], sx[i, j], sx[j, i]
-        keep = m > 0
-        i, j, m, a, b = i[keep], j[keep], m[keep], a[keep], b[keep]
+        per = np.maximum(m, 1)           # pairs without a common row come with n = 0
+        mean = [np.where(m > 0, about[k] + t / per, 0.0) for k, t in ((i, a), (j, b))]
         yield pa.RecordBatch.from_arrays(
             [pa.array(i, pa.int32()), pa.array(j, pa.int32()),
-             *[pa.array(c) for c in (m, about[i] + a / m, about[j] + b / m, sxx[i, j] - a * a / m,
-                                     sxx[j, i] - b * b / m, sxy[i, j] - a * b / m)]],
+             *[pa.array(c) for c in (m, *mean, sxx[i, j] - a * a / per, sxx[j, i] - b * b / per,
+                                     sxy[i, j] - a * b / per)]],
             ["i", "j", "n", "mx", "my", "xx", "yy", "xy"])
 
     part = x.mapInArrow(moments, "i int, j int, n double, mx double, my double, xx double, yy double, xy double")
     pair = Window.partitionBy("i", "j")
-    mean = {c: F.sum(F.col("n") * F.col(c)).over(pair) / F.sum("n").over(pair) for c in ("mx", "my")}
+    mean = {c: F.try_divide(F.sum(F.col("n") * F.col(c)).over(pair), F.sum("n").over(pair)) for c in ("mx", "my")}
     part = part.withColumns({f"_{c}": F.col(c) - m for c, m in mean.items()})
     size = F.col("n")
     sums = part.groupBy("i", "j").agg(
