@@ -162,6 +162,16 @@ def test_cells_of_a_burst_are_even_and_change_nothing(spark):
             assert x[:9] == y[:9] and x.cumulative_pnl == pytest.approx(y.cumulative_pnl, abs=1e-6)
 
 
+def test_a_row_meets_few_cuts_however_many_cells_its_bucket_has(spark):
+    hour = T0 + timedelta(hours=1)
+    df = spark.createDataFrame([("a", hour + timedelta(milliseconds=i), i, 1, 1.0, 5.0) for i in range(3000)], SCHEMA)
+    o = even_cells(df, Ordering(chunk_rows=100), rows=5)
+    sizes = [r["count"] for r in ordered.with_cells(df, o).groupBy(ordered.CELL).count().collect()]
+    assert max(sizes) <= 10 and sum(sizes) == 3000 and len(sizes) > 300
+    assert max(len(r[ordered._CUTS]) for cuts in o.cuts for r in cuts.collect()) <= 128
+    assert all(r.pos == r.seq for r in ordered.with_positions(df, o).collect())
+
+
 def test_even_series_get_no_cuts(spark):
     df = spark.createDataFrame(series(random.Random(3), 50), SCHEMA)
     assert even_cells(df, CHUNKED, rows=1000).cuts is None

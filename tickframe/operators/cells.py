@@ -4,9 +4,11 @@ Chunked operators cut a series by time buckets (``Ordering.bucket``). A burst pu
 rows into one of them. ``even_cells`` counts rows per cell and cuts the cells that hold
 too many at quantiles of their first order column that varies (mergeable sketches, no
 sampling), until none holds more than twice ``rows``: first by time, and rows of one
-instant by the next column of the order. The cuts are written once; operators that get
-the returned ``Ordering`` find a row's cell by comparing it with the few cuts of its
-bucket. Results do not depend on where the cuts lie.
+instant by the next column of the order. The cuts of each round are written once, as a
+level of their own keyed by the cells they cut; operators that get the returned
+``Ordering`` go down the levels and compare a row with the few cuts (below ``2 * STEPS``)
+of its cell there, however many cells a bucket has in the end. Results do not depend on
+where the cuts lie.
 """
 
 from __future__ import annotations
@@ -71,11 +73,8 @@ def even_cells(df: DataFrame, o: Ordering, rows: int = 1_000_000) -> Ordering:
             q = q.filter(F.col("_v") > F.col(f"_lo_{c}"))
             at = F.struct(*[(F.col(f"_lo_{x}") if j < i else F.col("_v") if j == i else F.lit(None)).cast(kinds[x]).alias(x)
                             for j, x in enumerate(o.order)])
-            q = q.select(*o.keys, F.col(_BUCKET)["bucket"].alias("bucket") if o.cuts is not None
-                         else F.col(_BUCKET).alias("bucket"), at.alias("_at"))
+            q = q.select(*o.keys, _BUCKET, at.alias("_at"))
             cuts = q if cuts is None else cuts.unionByName(q)
-        if o.cuts is not None:
-            cuts = cuts.unionByName(o.cuts.select(*o.keys, "bucket", F.explode(_CUTS).alias("_at")))
-        cuts = cuts.groupBy(*o.keys, "bucket").agg(F.sort_array(F.collect_set("_at")).alias(_CUTS))
-        o = replace(o, cuts=scratch_table(cuts, "cell-cuts"))
+        cuts = cuts.groupBy(*o.keys, _BUCKET).agg(F.sort_array(F.collect_set("_at")).alias(_CUTS))
+        o = replace(o, cuts=(*(o.cuts or ()), scratch_table(cuts, "cell-cuts")))
     return o
