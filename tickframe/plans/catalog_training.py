@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LabelConfig, ModelConfig, SignalConfig
-from ..operators import features as fx
 from ..operators import labels as lb
 from ..operators import ledger as led
 from ..operators import models as md
@@ -20,7 +19,8 @@ from ..operators import signals as sg
 from ..operators import timeseries as tsx
 from ..operators import training as tr
 from .catalog_backtest import EXE, LEDGER_COLS, SIG_T, ledger_sql
-from .catalog_features import COMPLETE, MODEL_READY, features
+from .catalog_features import COMPLETE, MODEL_READY
+from .catalog_models import complete_rows
 from .defaults import ORDERING
 from .registry import register
 from .sqltext import W, dlit, features_sql, label_sql
@@ -42,8 +42,9 @@ KEEP = ("symbol", "ts", "seq", "mid_price")
 
 
 def split_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Complete, labelled feature rows with train, val and test by position."""
-    f = fx.drop_incomplete(features(spark, sf, MODEL_READY))
+    """Complete, labelled feature rows with train, val and test by position: the columns
+    that the candidates read and those kept."""
+    f, _ = complete_rows(spark, sf, [*KEEP, *(x for c in CANDIDATES for x in c.features)])
     f = lb.drop_unlabelled(lb.add_labels(f, LabelConfig(), ORDERING))
     return tsx.time_split(f, 0.2, 0.2, ORDERING)
 
