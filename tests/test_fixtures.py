@@ -141,6 +141,29 @@ def test_fx14_moments(spark):
         assert abs(a - b) < 1e-6
 
 
+def test_moments_of_lags_equal_window_aggregates(spark):
+    from tickframe.functions import frames as fr
+    from tickframe.operators.ordered import keyed_window
+    x = [0.1, 0.1, 0.1, 0.1, 0.1, -0.3, 0.2, None, 1e-9, 2e-9, 3e-9, 1e-9, 5.0, 0.25, float("nan"), 0.5, 0.5, 1.0, 2.0, 4.0]
+    w = keyed_window(KEYED)
+    df = frame(spark, {"x": x})
+    got, extra = fr.with_rolling_moments(df, "x", w, (2, 4, 5))
+    got = got.withColumns({f"{k}{n}": f("x", n) for n in (2, 4, 5) for k, f in (
+        ("std", fr.moment_std), ("skew", fr.moment_skew), ("kurt", fr.moment_kurt))}).drop(*extra)
+    want = df.withColumns({f"{k}{n}": f("x", w, n) for n in (2, 4, 5) for k, f in (
+        ("std", fr.rolling_std), ("skew", fr.rolling_skew), ("kurt", fr.rolling_kurt))})
+    for c in want.columns[len(df.columns):]:
+        for a, b in zip(col(got, c), col(want, c)):
+            assert (a is None) == (b is None), c
+            assert a is None or a != a and b != b or abs(a - b) < 1e-9, c
+
+
+def test_return_features_use_no_moment_window_aggregates(spark):
+    df = frame(spark, {"mid_price": [100.0, 101.0, 102.0]})
+    plan = fx.extract_one(df, fx.return_features, FeatureConfig(model_ready=True), KEYED)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lag(" in plan and "kurtosis(" not in plan and "stddev_samp(" not in plan
+
+
 def test_fx15_fx16_signals(spark):
     df = frame(spark, {"prob_up": [.7, .3, .5, .8, .2], "prob_down": [.2, .6, .3, .1, .7]})
     assert col(sg.generate_signals(df), "signal") == [1, -1, 0, 1, -1]
