@@ -310,3 +310,52 @@ def test_threshold_search_skips_nan_and_keeps_digits(spark):
             if best is None or (m / sd if sd else 0) > best:
                 best = m / sd if sd else 0
     assert clean[0].score == pytest.approx(best, rel=1e-9)
+
+
+# ------------------------------------------------------------------ training frames
+
+@pytest.fixture(scope="module")
+def events_dir(spark, tmp_path_factory):
+    rng = random.Random(7)
+    rows = [(i, T0 + timedelta(seconds=60 * i), rng.choice([0, 0, 0, 1, 9]), f'{{"k": {rng.randrange(100)}}}') for i in range(400)]
+    path = str(tmp_path_factory.mktemp("events"))
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, props string").write.parquet(f"{path}/events.parquet")
+    return path
+
+
+def test_splits_are_laid_out_without_features(spark, events_dir, monkeypatch):
+    from tickframe.operators import timeseries
+    from tickframe.plans import catalog_models as cm, catalog_training as ct
+    seen = []
+    for name in ("time_split", "time_split_ratio"):
+        def split(df, *a, _f=getattr(timeseries, name), **kw):
+            seen.append(set(df.columns))
+            return _f(df, *a, **kw)
+        monkeypatch.setattr(timeseries, name, split)
+    monkeypatch.setattr(cm.md, "fit", lambda *a, **kw: None)
+    monkeypatch.setattr(cm.md, "predict", lambda model, df, *a: df)
+    data, cols = cm.training_frame(spark, events_dir)
+    assert set(cols) < set(data.columns) and data.count() > 50
+    cm.fit_sequence(spark, events_dir)
+    ct.split_rows(spark, events_dir)
+    assert len(seen) == 3
+    assert all(s <= {"_row", "symbol", "ts", "seq", "mid_price", "label"} for s in seen)
+
+
+def test_sequence_frame_against_loop(spark, events_dir):
+    from tickframe.plans import catalog_models as cm
+    rows, cols = cm.complete_rows(spark, events_dir)
+    found, names = cm.sequence_frame(spark, events_dir)
+    assert names == cols
+    got = {(r.symbol, r.seq): (r.label, r.split, list(r.seq_x)) for r in found.collect()}
+    by, want = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r.symbol, r.ts, r.seq)):
+        by.setdefault(r.symbol, []).append(r)
+    for symbol, s in by.items():
+        kept = range(cm.SEQ_LEN, len(s) - 1)
+        for k, i in enumerate(kept):
+            move = (s[i + 1].mid_price - s[i].mid_price) / s[i].mid_price
+            want[symbol, s[i].seq] = (2 if move > 0.001 else 0 if move < -0.001 else 1,
+                                      "train" if k < math.floor(len(kept) * 0.8) else "test",
+                                      [r[c] for r in s[i - cm.SEQ_LEN:i] for c in cols])
+    assert len(want) > 30 and got == want

@@ -20,7 +20,7 @@ from ..operators import timeseries as tsx
 from ..operators import training as tr
 from .catalog_backtest import EXE, LEDGER_COLS, SIG_T, ledger_sql
 from .catalog_features import COMPLETE, MODEL_READY
-from .catalog_models import complete_rows
+from .catalog_models import ROW, complete_rows, slim_rows, with_marks
 from .defaults import ORDERING
 from .registry import register
 from .sqltext import W, dlit, features_sql, label_sql
@@ -45,8 +45,8 @@ def split_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Complete, labelled feature rows with train, val and test by position: the columns
     that the candidates read and those kept."""
     f, _ = complete_rows(spark, sf, [*KEEP, *(x for c in CANDIDATES for x in c.features)])
-    f = lb.drop_unlabelled(lb.add_labels(f, LabelConfig(), ORDERING))
-    return tsx.time_split(f, 0.2, 0.2, ORDERING)
+    marks = lb.drop_unlabelled(lb.add_labels(slim_rows(f), LabelConfig(), ORDERING))
+    return with_marks(f, tsx.time_split(marks, 0.2, 0.2, ORDERING).select(ROW, "label", "pos", "split"))
 
 
 def scored_rows(spark: SparkSession, sf: str) -> DataFrame:
