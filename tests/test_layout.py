@@ -6,6 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tickframe.config import Ordering
+from tickframe.operators import models as md
 from tickframe.operators.ordered import apply_ordered
 from tickframe.plans import catalog_features as cf
 
@@ -35,3 +36,12 @@ def test_partitions_of_the_features_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(cf, "TASK_ROWS", 10)
     assert [cf.layout(spark.range(n)).partitions for n in (0, 10 * cores, 20 * cores, 40 * cores - 1)] == [
         None, None, 2 * cores, 4 * cores]
+
+
+def test_small_training_sets_take_few_even_tasks(spark):
+    df = spark.range(0, 1000, 1, 10).withColumn("x", F.col("id") % 3)
+    few = md.fewer_tasks(df, 250)
+    sizes = [r["count"] for r in few.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 10 and few.distinct().count() == 1000
+    assert md.fewer_tasks(df, 50) is df
+    assert md.fewer_tasks(df.filter("id < 0"), 50).count() == 0
