@@ -68,3 +68,34 @@ def test_extractors_together_give_what_they_give_alone(spark):
     assert one.columns == together.columns
     clean = lambda d: sorted(map(repr, fx.null_out_non_finite(d).collect()))
     assert clean(one) == clean(together)
+
+
+def test_incomplete_rows_are_found_above_the_features(spark):
+    """The filter stays above the window; below the projections it would make every feature anew."""
+    f = fx.drop_incomplete(fx.feature_pipeline(small_book(spark), FeatureConfig(model_ready=True), ORDER))
+    lines = [x.lstrip(" :+-") for x in f._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert next(x for x in lines if x.startswith("Filter")) == next(x for x in lines if x.startswith("Filter isnotnull(_complete"))
+    assert not any(x.startswith("Filter") and ("isnan" in x or "atleastnnonnulls" in x.lower()) for x in lines)
+
+
+def test_incomplete_rows_are_dropped(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("b", None, 2.0), ("c", 1.0, math.nan), (None, 3.0, 4.0)],
+                               "symbol string, x double, `y.z` double")
+    assert {r[1] for r in fx.drop_incomplete(df).collect()} == {1.0, 3.0}
+    assert fx.drop_incomplete(df, ["x"]).count() == 3 and fx.drop_incomplete(df, ["symbol"]).count() == 3
+
+
+def test_fits_do_not_write_written_rows_again(spark, monkeypatch, tmp_path):
+    from tickframe.operators import models as md
+    from tickframe.plans import catalog_models as cm
+    rows = [(f"S{i % 2}", i, i % 3, float(i % 3) + (i * 7 % 5) / 10, float(i * 13 % 11), "test" if i % 4 == 0 else "train")
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "symbol string, seq long, label int, x double, y double, split string")
+    df.write.parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(cm, "training_frame", lambda *a: (spark.read.parquet(str(tmp_path / "rows")), ["x", "y"]))
+    written = []
+    monkeypatch.setattr(md, "materialize", lambda d, name: written.append(name) or d)
+    out = cm.fit_and_score(spark, "", "logistic_regression").collect()
+    assert len(out) == 30 and all(math.isclose(r.prob_down + r.prob_flat + r.prob_up, 1.0) for r in out)
+    assert cm._kept_rows("random_forest", n_estimators=2, max_depth=2)(spark, "").filter("likeliest").count() == 30
+    assert written == []
