@@ -253,6 +253,15 @@ def test_pigeonring_finds_every_pair(spark, radius):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= radius}
 
 
+def test_near_pairs_are_not_broadcast(spark):
+    """Each fingerprint makes some 70 rows, which the planner cannot know."""
+    fps = spark.range(3000).select(F.xxhash64("id").alias("fp"))
+    seen = simhash.near_pairs(fps)
+    seen.collect()
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_a_long_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(5, 5), (100, 90), (None, 3)], "u long, v long")
     got = {r.node: r.root for r in graph.components(e).collect()}

@@ -79,7 +79,9 @@ def near_pairs(fps: DataFrame, radius: int = 2) -> DataFrame:
                   for x in [0, *(1 << j for j in range(w2))]]
     left = nodes.select(F.col("fp").alias("u"), F.explode(F.array(*index)).alias("k")).select("u", "k.*")
     right = nodes.select(F.col("fp").alias("v"), F.explode(F.array(*probe)).alias("k")).select("v", "k.*")
-    pair = left.join(right, ["ring", "a", "b"]).filter("u < v")
+    # the planner sizes what is exploded like its input: a side of some 70 rows a
+    # fingerprint passed for small, and was broadcast
+    pair = left.join(right.hint("merge"), ["ring", "a", "b"]).filter("u < v")
     diff = F.col("u").bitwiseXOR(F.col("v"))
     d = [F.bit_count(_segment(diff, s, w)) for s, w in segs]
     chains = None
