@@ -359,3 +359,15 @@ def test_sequence_frame_against_loop(spark, events_dir):
                                       "train" if k < math.floor(len(kept) * 0.8) else "test",
                                       [r[c] for r in s[i - cm.SEQ_LEN:i] for c in cols])
     assert len(want) > 30 and got == want
+
+
+def test_vectors_are_read_a_few_rows_at_a_time(spark, events_dir, monkeypatch):
+    """A reader takes thousands of rows of a row group at once, each 16 KB wide."""
+    import pyarrow.parquet as pq
+    from urllib.parse import urlparse
+    from tickframe.plans import catalog_models as cm
+    monkeypatch.setattr(cm, "WIDE_ROWS", 8)
+    found, _ = cm.sequence_frame(spark, events_dir)
+    files = [pq.ParquetFile(urlparse(f).path).metadata for f in found.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == found.count() > 30 and max(groups) <= 8
