@@ -45,3 +45,21 @@ def test_small_training_sets_take_few_even_tasks(spark):
     assert len(sizes) == 4 and max(sizes) - min(sizes) <= 10 and few.distinct().count() == 1000
     assert md.fewer_tasks(df, 50) is df
     assert md.fewer_tasks(df.filter("id < 0"), 50).count() == 0
+
+
+def test_boosted_classes_that_do_not_fit_in_memory_are_grown_one_by_one(spark, monkeypatch):
+    assert [md.classes_at_once(1000, 10, 3, 200_000 * n + 5) for n in (0, 1, 2, 3, 9)] == [1, 1, 2, 3, 3]
+    assert md.classes_at_once(0, 10, 3, 5) == 3 and md.storage_bytes(spark) > 1 << 20
+    df = spark.range(90).selectExpr("cast(id % 7 as double) x", "cast(id % 5 as double) y", "cast(id % 3 as int) label")
+    seen, build = [], md.build_pipeline
+
+    def built(*a, **kw):
+        seen.append(build(*a, **kw))
+        return seen[-1]
+    monkeypatch.setattr(md, "build_pipeline", built)
+    out = []
+    for memory in (1, 1 << 40):
+        monkeypatch.setattr(md, "storage_bytes", lambda spark: memory)
+        model = md.fit(df, ["x", "y"], md.ModelConfig("lightgbm", {"n_estimators": 2, "max_depth": 2}))
+        out.append(sorted(map(tuple, md.predict(model, df).collect())))
+    assert [p.getStages()[-1].getParallelism() for p in seen] == [1, 3] and out[0] == out[1]
