@@ -367,6 +367,7 @@ def test_vectors_are_read_a_few_rows_at_a_time(spark, events_dir, monkeypatch):
     from urllib.parse import urlparse
     from tickframe.plans import catalog_models as cm
     monkeypatch.setattr(cm, "WIDE_ROWS", 8)
+    monkeypatch.setattr(cm, "FEW_ROWS", 30)
     found, _ = cm.sequence_frame(spark, events_dir)
     files = [pq.ParquetFile(urlparse(f).path).metadata for f in found.inputFiles()]
     groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
